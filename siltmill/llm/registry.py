@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siltmill.llm import decontam, linedup, sql, urlfilter
+from siltmill.llm import decontam, linedup, packing, quality, simhash, sql, urlfilter
 from siltmill.sources.tables import table
 
 RULES = (
@@ -17,11 +18,26 @@ RULES = (
 )
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, model).withColumnRenamed("doc", "doc_id")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
+
+
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urlfilter.judge_urls(pages, RULES).drop("url")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), simhash.hex_print(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return linedup.remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")
@@ -32,7 +48,7 @@ def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_urls": op3_urls, "op8_lines": op8_lines, "op10_leaks": op10_leaks}
+    return {"op1_quality": op1_quality, "op2_packing": op2_packing, "op3_urls": op3_urls, "op6_simhash": op6_simhash, "op8_lines": op8_lines, "op10_leaks": op10_leaks}
 
 
 def oracle_sql() -> dict[str, str]:
