@@ -2,7 +2,7 @@
 
 Words are hashed once. Each position of a document gives one key per mask, computed from the
 hashed words at the mask's places inside generated code; nothing is sorted or shuffled until a
-key has met a benchmark key. A hit is verified word by word over its whole span.
+key has met a benchmark key. A hit is verified on the words that its mask ignores.
 """
 
 from __future__ import annotations
@@ -18,18 +18,24 @@ from siltmill.scratch import materialize
 
 @dataclass(frozen=True)
 class Seeds:
-    """Over ``span`` words, mask m of ``masks`` ignores places m, m + masks, m + 2 masks, ... With three
-    masks every single substitution in a span is ignored by one of them, so no span with one is
-    missed, and spans with several are found if these fall on one mask. ``max_substitutions`` bounds
-    what verification accepts. Up to ``broadcast_keys`` benchmark keys go to every executor."""
-
-    span: int = 12
-    masks: int = 3
-    max_substitutions: int = 2
+    """In a mask, 1 keeps a word and 0 ignores it; at most ``max_substitutions`` of the ignored words of a
+    hit may differ. The first mask repeats every three words, so each single substitution falls on an
+    ignored place of one of its three neighbouring positions: any 13 words with at most one
+    substitution are found. Up to ``broadcast_keys`` benchmark keys go to every executor."""
+
+    masks: tuple[str, ...] = ("11011011011", "1110100010111")
+    max_substitutions: int = 3
     broadcast_keys: int = 3_000_000
 
-    def places(self, mask: int) -> list[int]:
-        return [i for i in range(self.span) if i % self.masks != mask]
+    @property
+    def shortest(self) -> int:
+        return min(map(len, self.masks))
+
+    def keep(self, mask: int) -> list[int]:
+        return [i for i, c in enumerate(self.masks[mask]) if c == "1"]
+
+    def ignore(self, mask: int) -> list[int]:
+        return [i for i, c in enumerate(self.masks[mask]) if c == "0"]
 
 
 def word_hashes(text: Column) -> Column:
@@ -38,44 +44,55 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _windows(df: DataFrame, ident: str, text: str, seeds: Seeds, id_as: str, pos_as: str, hashes_as: str) -> DataFrame:
-    """(id, position, hashes, key): a row for each position and mask."""
-    rows = df.select(F.col(f"`{ident}`").alias(id_as), word_hashes(F.col(f"`{text}`")).alias(hashes_as))
-    rows = rows.where(F.size(hashes_as) >= seeds.span).select("*", F.posexplode(hashes_as).alias(pos_as, "__word"))
-    rows = rows.where(F.col(pos_as) <= F.size(hashes_as) - seeds.span)
-    at = lambda i: F.get(F.col(hashes_as), F.col(pos_as) + i)
-    keys = [F.xxhash64(F.lit(m), *(at(i) for i in seeds.places(m))) for m in range(seeds.masks)]
-    return rows.select(id_as, pos_as, hashes_as, F.explode(F.array(*keys)).alias("key"))
+def _places(rows: DataFrame, hashes: str, pos: str, seeds: Seeds) -> DataFrame:
+    """``rows`` with ``pos``: a row for each place where the shortest mask fits.
+
+    The outer form of explode keeps Spark from inferring a filter that would hash all words again.
+    What follows, up to a join and the aggregation above it, stays in one generated loop, so
+    ``hashes`` is referred to and not copied into each row. The loop is kept short enough to be
+    compiled: a long one would be interpreted and an order of magnitude slower.
+    """
+    rows = rows.select("*", F.posexplode_outer(hashes).alias(pos, "__word")).drop("__word")
+    return rows.where(F.col(pos) <= F.size(hashes) - seeds.shortest)
+
+
+def _key(hashes: str, pos: str, seeds: Seeds, mask: int) -> Column:
+    key = F.xxhash64(F.lit(mask), *(F.get(F.col(hashes), F.col(pos) + i) for i in seeds.keep(mask)))
+    size = len(seeds.masks[mask])
+    return key if size == seeds.shortest else F.when(F.col(pos) <= F.size(hashes) - size, key)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds(), doc="doc_id", text="text", item="item_id", item_text="text") -> DataFrame:
-    """``(doc_id, item_id, n_hits, first_word, last_word, substitutions)``, a row for each document and
-    benchmark item that share a span of ``seeds.span`` words with at most ``max_substitutions``
-    different words, all at places that one mask ignores.
-
-    n_hits counts (position in the document, position in the item, mask) triples; first_word and
-    last_word bound the hits in the document, in words from 0; substitutions is the least seen.
-    Items with equal words are one item, under their smallest id. Texts that are null, empty or
-    shorter than a span share nothing. Rows with equal ids count as one document, null ids too.
+    """``(doc_id, item_id, n_hits, first_word, last_word)``, a row for each document and benchmark item
+    that agree, somewhere, on all words that a mask keeps and differ on at most ``max_substitutions``
+    of those it ignores.
+
+    n_hits counts (place in the document, place in the item, mask) triples; first_word is the place of
+    the first hit in the document, in words from 0, and last_word the last word that the last hit's
+    mask reaches. Items with equal words are one item, under their smallest id. Texts that are null,
+    empty or shorter than a mask share nothing. Rows with equal ids count as one document, null ids too.
     """
     named = needed(benchmark, *dict.fromkeys((item, item_text)))
     same = named.select(F.col(f"`{item}`").alias("item"), word_hashes(F.col(f"`{item_text}`")).alias("ih")).groupBy("ih").agg(F.min("item").alias("item"))
-    same = same.where(F.size("ih") >= seeds.span).select("*", F.posexplode("ih").alias("ipos", "__word"))
-    same = same.where(F.col("ipos") <= F.size("ih") - seeds.span)
-    at = lambda i: F.get(F.col("ih"), F.col("ipos") + i)
-    keys = [F.xxhash64(F.lit(m), *(at(i) for i in seeds.places(m))) for m in range(seeds.masks)]
-    window = F.slice("ih", F.col("ipos") + 1, seeds.span)
-    tests = materialize(same.select("item", "ipos", window.alias("iw"), F.explode(F.array(*keys)).alias("key")), "benchmark")
+    most = max(len(seeds.ignore(m)) for m in range(len(seeds.masks)))
+    kinds = []
+    for m, mask in enumerate(seeds.masks):
+        holes = seeds.ignore(m) + [None] * (most - len(seeds.ignore(m)))
+        at = [F.lit(o).cast("int").alias(f"o{k}") for k, o in enumerate(holes)]
+        word = [(F.get("ih", F.col("ipos") + o) if o is not None else F.lit(None).cast("long")).alias(f"w{k}") for k, o in enumerate(holes)]
+        kinds.append(F.struct(_key("ih", "ipos", seeds, m).alias("key"), F.lit(len(mask)).alias("reach"), *at, *word))
+    tests = _places(same, "ih", "ipos", seeds).select("item", F.explode(F.array(*kinds)).alias("k")).select("item", "k.*").where("key is not null")
+    tests = materialize(tests, "benchmark")
     few = tests.count() <= seeds.broadcast_keys
-    rows = _windows(needed(docs, *dict.fromkeys((doc, text))), doc, text, seeds, "doc", "pos", "h")
-    hit = rows.join(F.broadcast(tests) if few else tests, "key")
-    own = F.slice("h", F.col("pos") + 1, seeds.span)
-    differ = F.size(F.filter(F.zip_with(own, F.col("iw"), lambda a, b: a != b), lambda x: x))
-    hit = hit.select("doc", "item", "pos", differ.alias("differ")).where(F.col("differ") <= seeds.max_substitutions)
-    return hit.groupBy("doc", "item").agg(
-        F.count("*").alias("n_hits"), F.min("pos").cast("long").alias("first_word"),
-        (F.max("pos") + seeds.span - 1).cast("long").alias("last_word"), F.min("differ").cast("long").alias("substitutions"),
-    ).select(F.col("doc").alias(doc), F.col("item").alias(item), "n_hits", "first_word", "last_word", "substitutions")
+    rows = needed(docs, *dict.fromkeys((doc, text))).select(F.col(f"`{doc}`").alias("doc"), word_hashes(F.col(f"`{text}`")).alias("h"))
+    keys = [_key("h", "pos", seeds, m) for m in range(len(seeds.masks))]
+    rows = _places(rows, "h", "pos", seeds).select("doc", "h", "pos", F.explode(F.array(*keys)).alias("key"))
+    differ = sum((F.when(F.get("h", F.col("pos") + F.col(f"o{k}")) != F.col(f"w{k}"), 1).otherwise(0) for k in range(most)), F.lit(0))
+    hit = rows.join(F.broadcast(tests) if few else tests, "key").where(differ <= seeds.max_substitutions)
+    found = hit.groupBy("doc", "item").agg(
+        F.count("*").alias("n_hits"), F.min("pos").cast("long").alias("first_word"), F.max(F.col("pos") + F.col("reach") - 1).cast("long").alias("last_word")
+    )
+    return found.select(F.col("doc").alias(doc), F.col("item").alias(item), "n_hits", "first_word", "last_word")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds(), doc="doc_id", text="text", **columns) -> DataFrame:

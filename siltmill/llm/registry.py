@@ -52,4 +52,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_urls": sql.op3(RULES, urlfilter.VOCABULARY, urlfilter.STRICT, urlfilter.MIN_SOFT), "op8_lines": sql.OP8, "op10_leaks": sql.op10(12, 3, 2)}
+    return {"op3_urls": sql.op3(RULES, urlfilter.VOCABULARY, urlfilter.STRICT, urlfilter.MIN_SOFT), "op8_lines": sql.OP8, "op10_leaks": sql.op10(decontam.Seeds().masks, decontam.Seeds().max_substitutions)}

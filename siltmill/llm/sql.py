@@ -50,24 +50,26 @@ SELECT d.doc_id, coalesce(g.n_lines, 0)::BIGINT AS n_lines, coalesce(g.n_removed
 FROM d LEFT JOIN g USING (doc_id)"""
 
 
-def op10(span: int, masks: int, most: int) -> str:
-    def key(w: str, p: str, m: int) -> str:
-        return f"concat_ws(' ', {m}, " + ", ".join(f"{w}[{p} + {i + 1}]" for i in range(span) if i % masks != m) + ")"
+def op10(masks, most: int) -> str:
+    shortest = min(map(len, masks))
 
     def words(ident: str, source: str) -> str:
         return f"SELECT {ident}, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM {source} WHERE text IS NOT NULL"
 
     def keyed(ident: str, source: str) -> str:
-        every = " UNION ALL ".join(f"SELECT {ident}, pos, w[pos + 1:pos + {span}] AS win, {key('w', 'pos', m)} AS key FROM {source}" for m in range(masks))
-        return every
+        def one(m: int, mask: str) -> str:
+            kept = ", ".join(f"w[pos + {i + 1}]" for i, c in enumerate(mask) if c == "1")
+            rest = ", ".join(f"w[pos + {i + 1}]" for i, c in enumerate(mask) if c == "0")
+            return f"SELECT {ident}, pos, {len(mask)} AS reach, [{rest}] AS rest, concat_ws(' ', {m}, {kept}) AS key FROM {source} WHERE pos + {len(mask)} <= len(w)"
+
+        return " UNION ALL ".join(one(m, mask) for m, mask in enumerate(masks))
 
-    differ = " + ".join(f"(d.win[{i + 1}] <> i.win[{i + 1}])::BIGINT" for i in range(span))
     return f"""
 WITH dw AS ({words("doc_id", "documents")}), iw0 AS ({words("item_id", "benchmark")}),
 iw AS (SELECT min(item_id) AS item_id, w FROM iw0 GROUP BY w),
-dp AS (SELECT doc_id, w, pos FROM dw, unnest(range(0, len(w) - {span} + 1)) AS u(pos)),
-ip AS (SELECT item_id, w, pos FROM iw, unnest(range(0, len(w) - {span} + 1)) AS u(pos)),
+dp AS (SELECT doc_id, w, pos FROM dw, unnest(range(0, len(w) - {shortest} + 1)) AS u(pos)),
+ip AS (SELECT item_id, w, pos FROM iw, unnest(range(0, len(w) - {shortest} + 1)) AS u(pos)),
 d AS ({keyed("doc_id", "dp")}), i AS ({keyed("item_id", "ip")}),
-h AS (SELECT doc_id, item_id, d.pos AS pos, {differ} AS differ FROM d JOIN i ON d.key = i.key)
-SELECT doc_id, item_id, count(*) AS n_hits, min(pos)::BIGINT AS first_word, (max(pos) + {span - 1})::BIGINT AS last_word, min(differ)::BIGINT AS substitutions
-FROM h WHERE differ <= {most} GROUP BY doc_id, item_id"""
+h AS (SELECT doc_id, item_id, d.pos AS pos, d.reach AS reach, list_zip(d.rest, i.rest) AS z FROM d JOIN i ON d.key = i.key)
+SELECT doc_id, item_id, count(*) AS n_hits, min(pos)::BIGINT AS first_word, max(pos + reach - 1)::BIGINT AS last_word
+FROM h WHERE len(list_filter(z, lambda x: x[1] <> x[2])) <= {most} GROUP BY doc_id, item_id"""
