@@ -28,6 +28,18 @@ SELECT page_id, host, path, CASE {name} END AS rule,
 FROM c"""
 
 
+OP4 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), k AS (
+  SELECT payload_digest, max(page_id) AS keep FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, p.payload_digest,
+  CASE WHEN page_id < keep THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < keep THEN keep END AS refers_to
+FROM p LEFT JOIN k ON p.payload_digest = k.payload_digest AND p.payload_bytes >= 1000"""
+
+
 OP8 = r"""
 WITH d AS (
   SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents
