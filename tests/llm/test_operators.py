@@ -333,9 +333,54 @@ def test_near_duplicates_on_awkward_rows(docs, none):
         comp.setdefault(r.doc, set()).add(r.component)
     assert comp[2] == {1} and comp[3] == comp[4] == comp[5] == {3} and comp[6] == {6} and comp[None] == {None}
     assert simhash.near_duplicates(none).count() == 0
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns
-    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3, 6, 7, 8, 9]
+    for wide in (True, False):
+        kept = simhash.keep_one(docs, wide=wide)
+        assert kept.columns == docs.columns
+        assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3, 6, 7, 8, 9]
+        assert simhash.keep_one(none, wide=wide).count() == 0
+    nameless = docs.where("doc_id is null").union(docs.where("doc_id is null")).union(docs.where("doc_id = 1").selectExpr("cast(null as bigint)", "text", "source", "kept", "n_words")).union(docs.where("doc_id = 1"))
+    assert sorted((r.doc_id or 0) for r in simhash.keep_one(nameless).collect()) == [0, 1]
+
+
+def shingles(text, n=5):
+    w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+
+
+def near_corpus(copies=40, seed=6):
+    """(id, text, group): groups of edited copies, and texts of their own."""
+    rng = np.random.default_rng(seed)
+    words = np.array([f"w{i}" for i in range(900)])
+    rows = []
+    for g in range(8):
+        base = rng.choice(words, 300)
+        for c in range(copies if g == 0 else 3):
+            text = base.copy()
+            for p in rng.choice(300, c % 4, replace=False):
+                text[p] = rng.choice(words)
+            rows.append((len(rows), " ".join(text), g))
+    for _ in range(30):
+        rows.append((len(rows), " ".join(rng.choice(words, 200)), None))
+    half = rows[0][1].split()
+    rows.append((len(rows), " ".join([*half[:150], *rng.choice(words, 150)]), None))  # similarity of about a third
+    return rows
+
+
+@pytest.mark.parametrize("bucket", [2000, 4])
+def test_similar_documents_find_edited_copies(spark, monkeypatch, bucket):
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    rows = near_corpus()
+    got = {r.doc: r.component for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string, component int")).collect()}
+    sets = {i: shingles(t) for i, t, _ in rows}
+    for i, _, g in rows:
+        assert got[i] == (i if g is None else min(j for j, _, h in rows if h == g)), (i, g)
+        if got[i] != i:
+            assert max(len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for j in sets if j != i and got[j] == got[i]) >= 0.8
+
+
+def test_shingle_hashes_count_like_brute_force():
+    for _, t, *_rest in ROWS:
+        assert len(simhash.shingle_hashes(t)) == len(shingles(t)), t and t[:30]
 
 
 # 7. Language
