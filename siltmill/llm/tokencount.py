@@ -39,14 +39,15 @@ class Unigram:
         weight = [1 / (r + 10) for r in range(len(pieces))]
         norm = math.log(sum(weight))
         self.score = {p: math.log(w) - norm for p, w in zip(pieces, weight, strict=True)}
-        self.longest = max(map(len, pieces), default=1)
+        #: Every end of a piece: its score if it is a piece, else None. What is in here may grow to the left.
+        self.ends = {p[i:]: None for p in pieces for i in range(len(p))} | self.score
         self.unknown = min(self.score.values(), default=0.0) - 10.0
         self.known: dict[str, tuple[int, float]] = {}
 
     def walk(self, words: list[str]) -> Iterator[tuple[str, int, float]]:
         """(word, tokens, score) of distinct ``words``, depth-first through their trie. Equal scores take
         fewer tokens."""
-        get, longest, unknown = self.score.get, self.longest, self.unknown
+        get, unknown, no = self.ends.get, self.unknown, -1
         best, tokens, previous = [0.0], [0], ""
         for word in sorted(words):
             shared, most = 0, min(len(word), len(previous))
@@ -54,10 +55,13 @@ class Unigram:
                 shared += 1
             del best[shared + 1 :], tokens[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                size = len(word[end - 1].encode("utf-8", "surrogatepass"))
+                last = word[end - 1]
+                size = 1 if last < "\x80" else len(last.encode("utf-8", "surrogatepass"))
                 top, count = best[end - 1] + size * unknown, tokens[end - 1] + size
-                for start in range(max(0, end - longest), end):
-                    s = get(word[start:end])
+                for start in range(end - 1, -1, -1):
+                    s = get(word[start:end], no)
+                    if s is no:
+                        break
                     if s is not None:
                         s += best[start]
                         if s > top or (s == top and tokens[start] + 1 < count):
