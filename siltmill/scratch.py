@@ -48,3 +48,8 @@ def discard(df: DataFrame) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete every intermediate table of this application, once no result that reads one is needed any more."""
+    delete(spark, shared_dir(spark))
