@@ -34,16 +34,26 @@ def classes(rows: DataFrame, idx: str, text: str, ngram: int = 3, min_chars: int
 
 
 def similar_sets(sets: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """``(left, right, jaccard)`` of every pair of classes at ``threshold`` or more, left < right."""
+    """``(left, right, jaccard)`` of every pair of classes at ``threshold`` or more, left < right.
+
+    Of two sets that share k grams of their prefixes, the last at places i and j, what follows can add no
+    more than the shorter rest; pairs that cannot reach the overlap they need are dropped on these
+    numbers alone, before any set is joined to them.
+    """
     one = sets.select("class", "n", F.explode("grams").alias("gram"))
     common = one.groupBy("gram").agg(F.count("*").alias("df"))
     ranked = one.join(common, "gram").groupBy("class", "n").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("g"))
     # Rounding may only lengthen a prefix, never shorten it.
     keep = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)) + 1
-    prefix = materialize(ranked.select("class", "n", F.explode(F.transform(F.slice("g", F.lit(1), keep.cast("int")), lambda s: s["gram"])).alias("gram")), "prefixes")
+    grams = F.transform(F.slice("g", F.lit(1), keep.cast("int")), lambda s: s["gram"])
+    prefix = materialize(ranked.select("class", "n", F.posexplode(grams).alias("at", "gram")), "prefixes")
     a, b = prefix.alias("a"), prefix.alias("b")
     near = (F.col("a.class") < F.col("b.class")) & (F.least("a.n", "b.n") >= F.lit(threshold) * F.greatest("a.n", "b.n") - F.lit(1e-9))
-    pairs = a.join(b, (F.col("a.gram") == F.col("b.gram")) & near).select(F.col("a.class").alias("left"), F.col("b.class").alias("right")).distinct()
+    met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & near).groupBy(F.col("a.class").alias("left"), F.col("b.class").alias("right"))
+    met = met.agg(F.count("*").alias("k"), F.max("a.at").alias("i"), F.max("b.at").alias("j"), F.max("a.n").alias("m"), F.max("b.n").alias("n"))
+    need = (F.col("m") + F.col("n")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-9)
+    pairs = met.where(F.col("k") + F.least(F.col("m") - F.col("i"), F.col("n") - F.col("j")) - 1 >= need).select("left", "right")
+    pairs = materialize(pairs, "candidates")
     left = sets.select(F.col("class").alias("left"), F.col("grams").alias("lg"))
     right = sets.select(F.col("class").alias("right"), F.col("grams").alias("rg"))
     shared = F.size(F.array_intersect("lg", "rg"))
