@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Rows of an Arrow batch that carries whole texts.
-TEXT_BATCH = 512
+#: Rows and bytes of an Arrow batch that carries whole texts.
+TEXT_BATCH, BATCH_BYTES = 512, "16m"
 
 
 def ascii_lower(c: Column) -> Column:
@@ -18,8 +18,10 @@ def ascii_lower(c: Column) -> Column:
 
 
 def text_batches(df: DataFrame, rows: int = TEXT_BATCH) -> DataFrame:
-    """Bound what a Python worker holds at once; texts may be very long."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Bound what a Python worker holds at once, by rows and by bytes; texts may be very long."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df
 
 

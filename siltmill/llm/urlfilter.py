@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltmill.llm.common import LOWER, UPPER, ascii_lower, replacing
+from siltmill.llm.common import LOWER, UPPER, ascii_lower, replacing, text_batches
 
 
 @dataclass(frozen=True)
@@ -115,7 +115,7 @@ def judge_urls(
         raise ValueError("a vocabulary term may not be empty")
     vocabulary = tuple(vocabulary) or (("\0", STRICT),)
     u = F.col(f"`{url}`")
-    found = df.withColumn("__hits", vocabulary_hits(u, vocabulary))
+    found = text_batches(df, 10_000).withColumn("__hits", vocabulary_hits(u, vocabulary))
     host, path = host_of(u), path_of(u)
     rule = rule_of(host, path, rules)
     strict, soft = F.col("__hits.strict"), F.col("__hits.soft")

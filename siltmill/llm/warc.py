@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltmill.llm.common import text_batches
 from siltmill.scratch import materialize, new_path
 
 END = "\r\n\r\n"
@@ -146,8 +147,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     ``payload`` is the block after its HTTP header, null for revisits and unless ``payloads``;
     ``payload_bytes`` and ``payload_sha1`` are measured on it, ``digest`` is what the record states.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    files = spark.read.format("binaryFile").load(path).select("content")
+    files = text_batches(spark.read.format("binaryFile").load(path).select("content"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in SCHEMA.split(", ")]
