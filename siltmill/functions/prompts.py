@@ -6,11 +6,12 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.functions.lookups import Domain, hinted_intent, resolve
 from siltmill.functions.text import history_context, strip, truncate
+from siltmill.ship import ship
 
 # Section titles and stand-ins.
 QUERY, INTENT, ADVICE, ASK, INFO = "【用户问题】", "【识别意图】", "【回答建议】", "【规划阶段追问建议】", "【外部参考信息】"
@@ -104,6 +105,8 @@ def intent_in(text: str | None, domain: Domain, patterns: list[re.Pattern] | Non
 def intent_from_text(text: Column, domain: Domain) -> Column:
     """Vectorised ``intent_in``: the look-behind over a match's surroundings is beyond one expression."""
 
+    ship(SparkSession.active())
+
     @F.pandas_udf("string")
     def infer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         patterns = _patterns(list(domain.intents)) if domain.intents else []

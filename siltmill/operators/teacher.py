@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
+from siltmill.ship import ship
+
 
 class Fatal(RuntimeError):
     """An error no retry can mend (a refused key, an exhausted quota): it fails the job."""
@@ -49,6 +51,7 @@ def ask(rows: DataFrame, request: str, teacher: Callable[[dict], dict], retries:
             found = [call(teacher, json.loads(r), retries) for r in b[request]]
             yield b[names].assign(answer=[None if a is None else json.dumps(a, ensure_ascii=False) for a, _ in found], error=[e for _, e in found])
 
+    ship(rows.sparkSession)
     return rows.mapInPandas(run, schema)
 
 
@@ -85,6 +88,7 @@ def converse(rows: DataFrame, planner: Callable[[dict], dict], simulator: Callab
                 out.append((str(i), json.dumps(turns, ensure_ascii=False), compressed))
             yield pd.DataFrame(out, columns=["id", "turns", "compressed"])
 
+    ship(rows.sparkSession)
     return rows.select("id", "user_query").mapInPandas(run, "id string, turns string, compressed string")
 
 
