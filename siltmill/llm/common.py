@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltmill.ship import ship
+
 #: Characters that separate words: the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -18,7 +20,9 @@ def ascii_lower(c: Column) -> Column:
 
 
 def text_batches(df: DataFrame, rows: int = TEXT_BATCH) -> DataFrame:
-    """Bound what a Python worker holds at once, by rows and by bytes; texts may be very long."""
+    """``df`` for a Python operator: the package is shipped, and what a worker holds at once is bounded by
+    rows and by bytes, as texts may be very long."""
+    ship(df.sparkSession)
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
