@@ -14,6 +14,7 @@ members. Two fingerprints differ in at most two bits exactly if they share such
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -151,7 +152,7 @@ def keep_one(docs: DataFrame, doc="doc_id", text="text", wide: bool = True) -> D
     if found.where("component is null").limit(1).count():
         named = found.where("component is not null").select([c for c in ("fp", "hi", "lo") if c in found.columns]).distinct()
         nameless = docs.where(F.col(f"`{doc}`").isNull()).dropDuplicates([text])
-        prints = wide_fingerprints(nameless, doc, text) if wide else fingerprints(nameless, doc, text)
+        prints = set_prints(nameless, doc, text).select("hi", "lo") if wide else fingerprints(nameless, doc, text)
         if prints.join(named, named.columns, "left_anti").count():
             kept = kept.unionByName(_without(nameless, named, doc, text, wide))
     return kept
@@ -164,7 +165,7 @@ def _without(rows: DataFrame, named: DataFrame, doc: str, text: str, wide: bool)
     @F.pandas_udf(kind)
     def prints(texts: pd.Series) -> pd.DataFrame:
         if wide:
-            return pd.DataFrame([wide_fingerprint(t) for t in texts], columns=["hi", "lo"])
+            return pd.DataFrame([set_print(shingle_hashes(t)) for t in texts], columns=["hi", "lo"])
         return pd.DataFrame({"fp": np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)})
 
     marked = rows.withColumn("__p", prints(F.col(f"`{text}`")))
@@ -172,108 +173,71 @@ def _without(rows: DataFrame, named: DataFrame, doc: str, text: str, wide: bool)
     return marked.join(same, marked["__p"] == same["__q"], "left_anti").drop("__p")
 
 
-# Copies with more changes: wide fingerprints propose, sets of five-word shingles decide.
+# Copies with more changes: an exact join of the sets of five-word shingles.
 
 #: Words of the shingles that are compared, and their similarity.
 WIDE_SHINGLE, SIMILAR = 5, 0.8
-#: Words of the shingles behind wide fingerprints: an edit changes fewer short ones. 32-bit parts that propose,
-#: and bits of 128 beyond which a pair isn't looked at (unrelated texts differ in about 64).
-PRINT_WORDS, PARTS, FAR = 2, 3, 28
-#: Rows of a bucket that one task takes at most, about; larger buckets are dealt by salt and their leaders meet again.
+#: Documents whose shingles are counted to put a set's rare ones first, about, and counts that every executor gets.
+#: They decide how many pairs meet, never which are found: any order that all sets share gives the same links.
+SAMPLE, COMMON = 10_000, 200_000
+#: Rows of a bucket that one task compares with the bucket at most, about; larger buckets are dealt by salt.
 BUCKET = 2000
 
 
-def wide_fingerprint(text: str | None, shingle: int = PRINT_WORDS) -> tuple[int, int]:
-    """128 bits as two signed longs, by majority over the shingles' XXH3."""
+def shingle_hashes(text: str | None, shingle: int = WIDE_SHINGLE) -> np.ndarray:
+    """Distinct hashes of the word shingles; of the whole text if it is shorter; none without words."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
+        return np.zeros(0, np.int64)
+    spans = [b" ".join(words)] if len(words) <= shingle else map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in spans), np.uint64)).view(np.int64)
+
+
+def set_print(hashes: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set of shingles as two signed longs: equal sets have equal ones, others don't."""
+    if not len(hashes):
         return 0, 0
-    spans = iter([b" ".join(words)]) if len(words) <= shingle else map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
-    total = max(1, len(words) - shingle + 1)
-    ones = np.zeros(128, np.int64)
-    for start in range(0, total, BLOCK):
-        n = min(BLOCK, total - start)
-        digests = b"".join(xxhash.xxh3_128_digest(s, SEED) for s, _ in zip(spans, range(n), strict=False))
-        ones += np.unpackbits(np.frombuffer(digests, np.uint8).reshape(n, 16), axis=1).sum(axis=0, dtype=np.int64)
-    hi, lo = np.packbits(2 * ones > total).view(">u8").astype(np.uint64).view(np.int64)
+    hi, lo = np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes(), SEED), ">i8")
     return int(hi), int(lo)
 
 
-def wide_fingerprints(docs: DataFrame, doc="doc_id", text="text", shingle: int = PRINT_WORDS) -> DataFrame:
-    """``(doc, hi, lo)``, a row for each row of ``docs``."""
-    rows = text_batches(needed(docs, doc, text))
-    kind = rows.schema[doc].dataType.simpleString()
+def _prefix(hashes: np.ndarray, common: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The first n - ceil(similarity n) + 1 of n shingles, rare ones first: two sets of that similarity share one."""
+    if not len(hashes):
+        return hashes
+    seen = np.zeros(len(hashes), np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        seen = np.where(common[at] == hashes, counts[at], 0)
+    # Rounding may only lengthen a prefix, never shorten it.
+    keep = len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1
+    return hashes[np.lexsort((hashes, seen))[:keep]]
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            found = np.array([wide_fingerprint(t, shingle) for t in b["t"]], np.int64).reshape(len(b), 2)
-            yield pd.DataFrame({"doc": b["doc"], "hi": found[:, 0], "lo": found[:, 1]})
-
-    return rows.toDF("doc", "t").mapInPandas(score, f"doc {kind}, hi long, lo long")
-
-
-def _lead(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of buckets, sorted by bucket and node. A node goes to the first leader of its bucket within FAR
-    bits, or leads itself. Gives edges to leaders, and the leaders of salted buckets with a null ``dst``."""
-    at, leaders = None, []
-    for b in batches:
-        out = []
-        for key, salt, salted, node, hi, lo in zip(*(b[c].tolist() for c in ("key", "salt", "salted", "node", "hi", "lo")), strict=True):
-            if (key, salt) != at:
-                at, leaders = (key, salt), []
-            for other, h, g in leaders:
-                if ((hi ^ h) & _MASK).bit_count() + ((lo ^ g) & _MASK).bit_count() <= FAR:
-                    if other != node:
-                        out.append((key, node, other, hi, lo))
-                    break
-            else:
-                leaders.append((node, hi, lo))
-                if salted:
-                    out.append((key, node, None, hi, lo))
-        if out:
-            yield pd.DataFrame(out, columns=["key", "node", "dst", "hi", "lo"]).astype({"dst": "Int64"})
-
-
-_MASK = (1 << 64) - 1
-
-
-def proposals(nodes: DataFrame) -> DataFrame:
-    """``nodes(node long, hi, lo)`` -> distinct ``(src, dst)`` that may be similar.
-
-    Each 32-bit part is dealt to itself and the 32 strings one flip away, which lie on the grid points of
-    segment popcounts at distance one: parts that differ in at most two bits share one of these.
-    A bucket isn't expanded into pairs; its nodes are compared with its few leaders.
-    """
-    parts = [F.shiftrightunsigned("hi", 32), F.col("hi").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("lo", 32), F.col("lo").bitwiseAND(F.lit(0xFFFFFFFF))][:PARTS]
-    flips = [0, *(1 << k for k in range(32))]
-    keys = [p.bitwiseXOR(F.lit(f)).bitwiseOR(F.lit(i << 32)) for i, p in enumerate(parts) for f in flips]
-    # Every node is dealt many times, so what is dealt is narrow; bits are joined to the few rows that meet others.
-    dealt = nodes.select("node", F.explode(F.array(*keys)).alias("key"))
-    shared = dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    salts = F.ceil(F.col("n") / BUCKET)
-    members = dealt.join(shared.hint("shuffle_hash"), "key").join(nodes, "node")
-    members = members.withColumns({"salt": F.pmod(F.xxhash64("node"), salts), "salted": F.col("n") > BUCKET})
-    schema = "key long, node long, dst long, hi long, lo long"
-    size = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def led(rows: DataFrame) -> DataFrame:
-        rows = rows.select("key", "salt", "salted", "node", "hi", "lo").repartition(size, "key", "salt")
-        return text_batches(rows.sortWithinPartitions("key", "salt", "node"), 20_000).mapInPandas(_lead, schema)
+def common_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, and counts of shingles that a sample of ``rows(doc, t)`` has in two texts or more."""
+    step = max(1, rows.count() // SAMPLE)
+    sample = rows.where(F.pmod(F.xxhash64("doc"), F.lit(step)) == 0).select("t").distinct()
+    sets = shingle_sets(sample.select(F.lit(0).cast("long").alias("node"), "t"))
+    found = sets.select(F.explode("s").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    found = found.orderBy(F.desc("n"), "key").limit(COMMON).toPandas().sort_values("key")
+    return found["key"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
 
-    first = materialize(led(members), "led")
-    again = first.where("dst is null").withColumns({"salt": F.lit(0).cast("long"), "salted": F.lit(False)})
-    second = led(again)
-    edges = first.where("dst is not null").unionByName(second).select(F.greatest("node", "dst").alias("src"), F.least("node", "dst").alias("dst"))
-    return materialize(edges.distinct(), "proposals")
 
+def set_prints(docs: DataFrame, doc="doc_id", text="text", similarity: float = SIMILAR) -> DataFrame:
+    """``(doc, hi, lo, size, prefix)``, a row for each row of ``docs``: print, size and prefix of its shingle set."""
+    rows = text_batches(needed(docs, doc, text)).toDF("doc", "t")
+    kind = rows.schema["doc"].dataType.simpleString()
+    common, counts = common_shingles(rows)
 
-def shingle_hashes(text: str | None, shingle: int = WIDE_SHINGLE) -> np.ndarray:
-    """Distinct hashes of the word shingles; of the whole text if it is shorter; none without words."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.int64)
-    spans = [b" ".join(words)] if len(words) <= shingle else map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in spans), np.uint64)).view(np.int64)
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            sets = [shingle_hashes(t) for t in b["t"]]
+            prints = np.array([set_print(s) for s in sets], np.int64).reshape(len(b), 2)
+            prefix = [_prefix(s, common, counts, similarity) for s in sets]
+            yield pd.DataFrame({"doc": b["doc"], "hi": prints[:, 0], "lo": prints[:, 1], "size": [len(s) for s in sets], "prefix": prefix})
+
+    return rows.mapInPandas(score, f"doc {kind}, hi long, lo long, size long, prefix array<bigint>")
 
 
 def shingle_sets(rows: DataFrame) -> DataFrame:
@@ -286,24 +250,72 @@ def shingle_sets(rows: DataFrame) -> DataFrame:
     return text_batches(rows).mapInPandas(collect, "node long, s array<bigint>")
 
 
-def similar_documents(docs: DataFrame, doc="doc_id", text="text", similarity: float = SIMILAR) -> DataFrame:
-    """``(doc, hi, lo, component)``: ``component`` is the smallest id that verified links reach.
-
-    Links join documents with equal wide fingerprints, and those that a bucket proposes and whose five-word
-    shingle sets have a Jaccard similarity of ``similarity`` or more. By calculation a pair of 0.9 is
-    proposed with a probability of 0.96 and one of 0.8 with 0.79; chains find more. Ids must be whole numbers; rows with one
-    id are one document, and null ids link by equal fingerprints only.
-    """
-    prints = materialize(wide_fingerprints(docs, doc, text), "wide")
-    nodes = materialize(prints.groupBy("hi", "lo").agg(F.min("doc").alias("node")), "nodes")
-    edges = proposals(nodes.where("node is not null").select(F.col("node").cast("long").alias("node"), "hi", "lo"))
+def _verified(edges: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The ``edges(src, dst)`` between nodes of ``texts(node, t)`` that have the similarity."""
     known = edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))).distinct()
-    named = needed(docs, doc, text).toDF("node", "t").withColumn("node", F.col("node").cast("long"))
-    sets = named.join(known, "node", "left_semi").groupBy("node").agg(F.min("t").alias("t"))
+    sets = texts.join(known, "node", "left_semi").groupBy("node").agg(F.min("t").alias("t"))
     sets = materialize(shingle_sets(sets), "sets")
     pair = edges.join(sets.select(F.col("node").alias("src"), F.col("s").alias("a")), "src").join(sets.select(F.col("node").alias("dst"), F.col("s").alias("b")), "dst")
     shared = F.size(F.array_intersect("a", "b"))
-    linked = pair.where(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("src", "dst")
-    groups = connected_components(linked).withColumnsRenamed({"node": "id"})
+    enough = shared >= F.lit(similarity) * (F.size("a") + F.size("b") - shared) - F.lit(1e-9)
+    return materialize(pair.where(enough).select("src", "dst"), "similar")
+
+
+def similar_links(nodes: DataFrame, texts: DataFrame, similarity: float = SIMILAR) -> DataFrame:
+    """``nodes(node, size, prefix)`` -> ``(src, dst)``: edges that connect exactly what chains of similar pairs connect.
+
+    Nodes that share a shingle of their prefixes meet in its bucket; every similar pair shares one. First
+    each meets the least node of its buckets only, so that a large group of near copies is connected
+    without its pairs. Then all members of a bucket that aren't connected yet meet each other.
+    """
+    # Every node is dealt many times, so what is dealt is narrow: place and size share a long.
+    dealt = nodes.select("node", "size", F.posexplode("prefix").alias("at", "key"))
+    dealt = dealt.select("key", "node", F.shiftleft(F.col("size"), 32).bitwiseOR(F.col("at").cast("long")).alias("place"))
+    shared = dealt.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("low")).where("n > 1")
+    members = dealt.join(shared.hint("shuffle_hash"), "key")
+    size, at = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF))
+    members = materialize(members.select("key", "node", size.alias("size"), at.alias("at"), "low"), "members")
+
+    need = (F.col("a.size") + F.col("b.size")) * F.lit(similarity / (1 + similarity)) - F.lit(1e-6)
+    after = F.least(F.col("a.size") - F.col("a.at"), F.col("b.size") - F.col("b.at"))
+    near = F.least("a.at", "b.at") + after >= need  # what precedes a shared shingle, it and what follows
+    a, b = members.where("node = low").alias("a"), members.where("node <> low").alias("b")
+    star = a.join(b, (F.col("a.key") == F.col("b.key")) & near).select(F.col("b.node").alias("src"), F.col("a.node").alias("dst"))
+    first = _verified(materialize(star.distinct(), "star"), texts, similarity)
+
+    groups = connected_components(first)
+    members = members.drop("low").join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
+    members = materialize(members, "grouped")
+    mixed = members.groupBy("key").agg(F.count("*").alias("n"), F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y")
+    salts = F.ceil(F.col("n") / BUCKET)
+    open_ = materialize(members.join(mixed.select("key", salts.cast("long").alias("salts")), "key"), "open")
+    a = open_.withColumn("salt", F.pmod(F.xxhash64("node"), "salts")).alias("a")
+    b = open_.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).alias("b")
+    meet = (F.col("a.key") == F.col("b.key")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.node") > F.col("b.node")) & (F.col("a.group") != F.col("b.group"))
+    met = a.join(b, meet & near).groupBy(F.col("a.node").alias("src"), F.col("b.node").alias("dst"))
+    met = met.agg(F.count("*").alias("k"), F.max("a.at").alias("i"), F.max("b.at").alias("j"), F.max("a.size").alias("m"), F.max("b.size").alias("n"))
+    # Of all shared places of the prefixes that can matter, the last ones leave no more than the shorter rest.
+    least = (F.col("m") + F.col("n")) * F.lit(similarity / (1 + similarity)) - F.lit(1e-6)
+    pairs = met.where(F.col("k") + F.least(F.col("m") - F.col("i"), F.col("n") - F.col("j")) - 1 >= least).select("src", "dst")
+    return first.unionByName(_verified(materialize(pairs, "pairs"), texts, similarity))
+
+
+def similar_documents(docs: DataFrame, doc="doc_id", text="text", similarity: float = SIMILAR) -> DataFrame:
+    """``(doc, hi, lo, component)``: ``component`` is the smallest id that chains of similar documents reach.
+
+    Documents are similar if their five-word shingle sets are equal or have a Jaccard similarity of
+    ``similarity`` or more; every such pair is found. Ids must be whole numbers; rows with one id are one
+    document, compared by its least text, and null ids link by equal sets only.
+    """
+    prints = materialize(set_prints(docs, doc, text, similarity), "prints")
+    nodes = materialize(prints.groupBy("hi", "lo").agg(F.min("doc").alias("node")), "nodes")
+    least = nodes.where("node is not null")
+    named = prints.join(least, (prints["hi"] == least["hi"]) & (prints["lo"] == least["lo"]) & (prints["doc"] == least["node"]), "left_semi")
+    named = named.select(F.col("doc").cast("long").alias("node"), "size", "prefix")
+    texts = needed(docs, doc, text).toDF("node", "t").withColumn("node", F.col("node").cast("long"))
+    if least.groupBy("node").count().where("count > 1").limit(1).count():
+        texts = materialize(texts.where("node is not null").groupBy("node").agg(F.min("t").alias("t")), "texts")
+        named = materialize(set_prints(texts, "node", "t", similarity), "named").select(F.col("doc").alias("node"), "size", "prefix")
+    groups = connected_components(similar_links(named, texts, similarity)).withColumnsRenamed({"node": "id"})
     found = nodes.join(groups, F.col("node").cast("long") == F.col("id"), "left").select("hi", "lo", F.coalesce(F.col("component").cast(prints.schema["doc"].dataType), F.col("node")).alias("component"))
-    return prints.join(materialize(found, "found"), ["hi", "lo"]).select("doc", "hi", "lo", "component")
+    return prints.select("doc", "hi", "lo").join(materialize(found, "found"), ["hi", "lo"]).select("doc", "hi", "lo", "component")

@@ -378,6 +378,32 @@ def test_similar_documents_find_edited_copies(spark, monkeypatch, bucket):
             assert max(len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for j in sets if j != i and got[j] == got[i]) >= 0.8
 
 
+def family(size, pairs, shared, changed, seed=3):
+    """Texts of 300 words, ``shared`` of them the family's first ones; the last ``pairs`` come again with ``changed`` words swapped."""
+    rng = np.random.default_rng(seed)
+    words = np.array([f"w{i}" for i in range(5000)])
+    base = rng.choice(words, 300)
+    texts = [[*base[:shared], *rng.choice(words, 300 - shared)] for _ in range(size)]
+    for k in range(pairs):
+        copy = list(texts[size - pairs + k])
+        for p in range(changed):
+            copy[40 + p * 20] = f"new{k}x{p}"
+        texts.append(copy)
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("sample", [10_000, 1])
+def test_no_pair_of_a_family_is_absorbed(spark, monkeypatch, sample):
+    monkeypatch.setattr(simhash, "SAMPLE", sample)
+    monkeypatch.setattr(simhash, "BUCKET", 16)
+    rows = family(300, 40, 264, 1)
+    sets = {i: shingles(t) for i, t in rows}
+    like = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    assert all(like(i, j) < 0.8 for i in range(300) for j in range(i)) and all(like(i - 40, i) > 0.95 for i in range(300, 340))
+    got = {r.doc: r.component for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - 40 if i >= 300 else i for i, _ in rows}
+
+
 def test_shingle_hashes_count_like_brute_force():
     for _, t, *_rest in ROWS:
         assert len(simhash.shingle_hashes(t)) == len(shingles(t)), t and t[:30]
