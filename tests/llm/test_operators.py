@@ -404,6 +404,14 @@ def test_no_pair_of_a_family_is_absorbed(spark, monkeypatch, sample):
     assert got == {i: i - 40 if i >= 300 else i for i, _ in rows}
 
 
+def test_every_isolated_pair_just_over_the_similarity_is_found(spark):
+    rows = family(60, 60, 0, 6)
+    sets = {i: shingles(t) for i, t in rows}
+    assert all(0.8 <= len(sets[i] & sets[i + 60]) / len(sets[i] | sets[i + 60]) < 0.83 for i in range(60))
+    got = {r.doc: r.component for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i % 60 for i, _ in rows}
+
+
 def test_shingle_hashes_count_like_brute_force():
     for _, t, *_rest in ROWS:
         assert len(simhash.shingle_hashes(t)) == len(shingles(t)), t and t[:30]
