@@ -81,8 +81,8 @@ def minhash_pairs(sets: DataFrame, threshold: float = 0.9, num_perm: int = 128,
     """``(left, right)`` classes that share a band of MinHash values; with ``verify``, those at ``threshold``.
 
     Permutations are seeded 64-bit hashes. Each class links to the least class of its bucket instead of
-    to all others, which keeps what is connected and never expands a bucket into pairs; verification
-    looks at those links only, so a link that fails may hide a pair that would not.
+    to all others, which keeps what is connected. With ``verify`` these links are tested first, and then
+    all pairs of a bucket that they left unconnected: what is connected is what all tested pairs connect.
     """
     bands, rows = band_shape(threshold, num_perm)
     values = [F.array_min(F.transform("grams", lambda g, k=k: F.xxhash64(F.lit(k), g))) for k in range(bands * rows)]
@@ -92,6 +92,20 @@ def minhash_pairs(sets: DataFrame, threshold: float = 0.9, num_perm: int = 128,
     links = banded.join(least, "band").select("left", F.col("class").alias("right")).where("left < right").distinct()
     if not verify:
         return links
+    first = materialize(_tested(materialize(links, "links"), sets, threshold), "tested")
+    groups = connected_components(first).select(F.col("node").alias("class"), "component")
+    sized = banded.join(groups, "class", "left").join(sets.select("class", "n"), "class")
+    grouped = materialize(sized.select("band", "class", "n", F.coalesce("component", "class").alias("group")), "grouped")
+    mixed = grouped.groupBy("band").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("band")
+    rest = materialize(grouped.join(mixed, "band"), "rest")
+    a, b = rest.alias("a"), rest.alias("b")
+    apart = (F.col("a.band") == F.col("b.band")) & (F.col("a.class") < F.col("b.class")) & (F.col("a.group") != F.col("b.group"))
+    apart &= F.least("a.n", "b.n") >= F.lit(threshold) * F.greatest("a.n", "b.n") - F.lit(1e-9)
+    pairs = materialize(a.join(b, apart).select(F.col("a.class").alias("left"), F.col("b.class").alias("right")).distinct(), "pairs")
+    return first.unionByName(_tested(pairs, sets, threshold))
+
+
+def _tested(links: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     left, right = sets.select(F.col("class").alias("left"), F.col("grams").alias("lg")), sets.select(F.col("class").alias("right"), F.col("grams").alias("rg"))
     shared = F.size(F.array_intersect("lg", "rg"))
     return links.join(left, "left").join(right, "right").where(shared / (F.size("lg") + F.size("rg") - shared) >= threshold).select("left", "right")

@@ -155,6 +155,21 @@ def test_dedup_awkward_rows(spark):
     assert dedup.band_shape(0.9) == (5, 25) and dedup.band_shape(0.85) == (8, 16)
 
 
+def test_minhash_tests_pairs_beyond_the_least(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "band_shape", lambda *_: (1, 1))
+    rows = []
+    for g in range(12):  # the least class is like neither of the others, which are alike
+        k = 1000 * g
+        common, both = list(range(k, k + 90)), list(range(k + 100, k + 120))
+        rows += [(3 * g, common + list(range(k + 200, k + 220))), (3 * g + 1, [*common, *both, k + 300]), (3 * g + 2, [*common, *both, k + 400])]
+    sets = spark.createDataFrame([(c, sorted(s), len(s)) for c, s in rows], "class long, grams array<bigint>, n int")
+    met = {frozenset((3 * g + 1, 3 * g + 2)) for g in range(12)}
+    least = {frozenset((r.left, r.right)) for r in dedup.minhash_pairs(sets, 0.9, verify=False).collect()}
+    hidden = {p for p in met if frozenset((min(p) - 1, min(p))) in least and frozenset((min(p) - 1, max(p))) in least}
+    found = {frozenset((r.left, r.right)) for r in dedup.minhash_pairs(sets, 0.9).collect()}
+    assert len(hidden) > 3 and hidden <= found <= met
+
+
 # Merges
 
 
