@@ -35,6 +35,8 @@ _MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])")
 
 LEFT, BODY, RIGHT = 20, 48, 8
 LENGTH = LEFT + BODY + RIGHT
+#: Characters between the windows of a candidate that is longer than BODY, and windows scored at a time.
+STRIDE, SCORED = 24, 4096
 #: Symbols: 0 padding, 1 other, 2.. printable ASCII.
 _CODE = np.ones(128, np.int64)
 for _i, _c in enumerate(string.printable[:95]):
@@ -63,6 +65,21 @@ def window(text: str, start: int, end: int) -> tuple[str, str, str]:
     return text[max(0, start - LEFT) : start], text[start : min(end, start + BODY)], text[end : end + RIGHT]
 
 
+_PART = re.compile(r"[^/=]{16,}")
+
+
+def windows(text: str, start: int, end: int) -> Iterator[tuple[str, str, str]]:
+    """All of a candidate, by windows: its beginning; if it is longer than BODY, also one at every STRIDE
+    characters up to its end, and the windows of its parts between ``/`` and ``=``."""
+    yield window(text, start, end)
+    if end - start > BODY:
+        for s in (*range(start + STRIDE, end - BODY, STRIDE), end - BODY):
+            yield window(text, s, min(end, s + BODY))
+        for m in _PART.finditer(text, start, end):
+            if (m.start(), m.end()) != (start, end) and _MIXED.match(m[0]):
+                yield from windows(text, m.start(), m.end())
+
+
 def encode(windows: Sequence[tuple[str, str, str]]) -> tuple[np.ndarray, np.ndarray]:
     """Symbol ids and the mark of the candidate's places, (n, LENGTH) each."""
     ids = np.zeros((len(windows), LENGTH), np.int64)
@@ -233,7 +250,7 @@ def scan(docs: DataFrame, network: Network | None = None, doc="doc_id", text="te
     """``(doc, findings array<struct<start,end,kind,score>>)``, a row for each row of ``docs``.
 
     Pattern findings all stay, with score 1. A candidate that overlaps none of them is scored by the
-    network and found, as kind ``cnn``, at its threshold or more. Starts and ends are in code points,
+    network on windows that cover it, and found, as kind ``cnn``, if the highest score is at its threshold or more. Starts and ends are in code points,
     ends exclusive. Null and empty texts have no finding; texts are read whole; nothing is shuffled.
     """
     net = network or default_network()
@@ -244,7 +261,16 @@ def scan(docs: DataFrame, network: Network | None = None, doc="doc_id", text="te
         for b in batches:
             found: list[list] = []
             open_: list[tuple[int, int, int]] = []
+            best: list[float] = []
             seen: list[tuple[str, str, str]] = []
+            whose: list[int] = []
+
+            def score() -> None:
+                for k, p in zip(whose, net.probability(seen), strict=True):  # noqa: B023
+                    best[k] = max(best[k], float(p))  # noqa: B023
+                seen.clear()  # noqa: B023
+                whose.clear()  # noqa: B023
+
             for i, t in enumerate(b["t"]):
                 t = t or ""
                 base = base_spans(t)
@@ -255,10 +281,16 @@ def scan(docs: DataFrame, network: Network | None = None, doc="doc_id", text="te
                         reach, k = max(reach, base[k][1]), k + 1
                     if s >= reach:
                         open_.append((i, s, e))
-                        seen.append(window(t, s, e))
-            for (i, s, e), p in zip(open_, net.probability(seen), strict=True):
+                        best.append(0.0)
+                        for w in windows(t, s, e):
+                            seen.append(w)
+                            whose.append(len(best) - 1)
+                            if len(seen) == SCORED:
+                                score()
+            score()
+            for (i, s, e), p in zip(open_, best, strict=True):
                 if p >= net.threshold:
-                    found[i].append({"start": s, "end": e, "kind": "cnn", "score": float(p)})
+                    found[i].append({"start": s, "end": e, "kind": "cnn", "score": p})
             for f in found:
                 f.sort(key=lambda x: (x["start"], KINDS.index(x["kind"])))
             yield pd.DataFrame({"doc": b["doc"], "findings": found})

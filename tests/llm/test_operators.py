@@ -273,6 +273,15 @@ def test_network_on_held_out_findings():
     assert found[y == 1].mean() > 0.93 and found[y == 0].mean() < 0.08
 
 
+def test_secrets_deep_in_long_candidates_are_found(spark):
+    key = "ghp_A1b2C3d4E5f6G7h8I9j0K1l2M3n4O5p6Q7r8"
+    lead = ["/some/long/readable/path/of/more/than/forty-eight/characters/", "long-setting-name-with-many-words-in-it-and-some-more-words-", "a-" * 5000]
+    df = spark.createDataFrame([(i, f"see {p}{key} end") for i, p in enumerate(lead)], "doc_id long, text string")
+    got = by_id(secrets.scan(df))
+    for i, p in enumerate(lead):
+        assert [(f["start"], f["end"], f["kind"]) for f in got[i]["findings"]] == [(4, 4 + len(p) + len(key), "cnn")]
+
+
 # 6. SimHash
 
 
