@@ -137,18 +137,20 @@ def deduplicate(rows: DataFrame, idx: str, text: str, keep: str = "longest", **o
     return rows.join(chosen, idx, "left_semi")
 
 
-def duplicate_log(rows: DataFrame, idx: str, text: str, keep: str = "longest", preview: int = 200, most: int = 1000, **options) -> DataFrame:
-    """A row for each cluster of two or more: what stays and, in order, what goes.
+def duplicate_log(rows: DataFrame, idx: str, text: str, keep: str = "longest", preview: int = 300, most: int = 1000, data: str | None = None, **options) -> DataFrame:
+    """What stays of each cluster of two or more and, in order, all that goes, with the whole rows as ``data``.
 
-    ``most`` bounds the records that one log row lists; ``removed`` counts them all.
+    A log row lists at most ``most`` removed records; a larger cluster has further log rows, numbered by
+    ``part``. ``removed`` counts them all. ``data`` names a column that holds the row; else it is made JSON.
     """
     marked = representatives(cluster(rows, idx, text, **options)).where("cluster_size > 1")
-    full = marked.join(rows.select(F.col(idx).alias("idx"), F.length(text).cast("long").alias("length"), F.left(F.col(text), F.lit(preview)).alias("text_preview")), "idx")
-    stays = full.where(f"keep_{keep}").select("cluster", "cluster_size", F.struct("idx", "length", "text_preview").alias("kept"))
+    whole = F.col(f"`{data}`") if data else F.to_json(F.struct(*(F.col(f"`{c}`") for c in rows.columns)))
+    full = marked.join(rows.select(F.col(idx).alias("idx"), F.length(text).cast("long").alias("length"), F.left(F.col(text), F.lit(preview)).alias("text_preview"), whole.alias("data")), "idx")
+    stays = full.where(f"keep_{keep}").select("cluster", "cluster_size", F.struct("idx", "length", "text_preview", "data").alias("kept"))
     nth = F.row_number().over(Window.partitionBy("cluster").orderBy("idx"))
-    goes = full.where(f"not keep_{keep}").withColumn("nth", nth).where(F.col("nth") <= most)
-    listed = goes.groupBy("cluster").agg(F.sort_array(F.collect_list(F.struct("idx", "length", "text_preview"))).alias("removed_records"))
-    return stays.join(listed, "cluster").select("cluster_size", (F.col("cluster_size") - 1).alias("removed"), "kept", "removed_records")
+    goes = full.where(f"not keep_{keep}").withColumn("part", F.floor((nth - 1) / most).cast("long"))
+    listed = goes.groupBy("cluster", "part").agg(F.sort_array(F.collect_list(F.struct("idx", "length", "text_preview", "data"))).alias("removed_records"))
+    return stays.join(listed, "cluster").select("cluster", "part", "cluster_size", (F.col("cluster_size") - 1).alias("removed"), "kept", "removed_records")
 
 
 def dedup_stats(clusters: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ def dedup_final_prompt(
     if not dry_run:
         _write_raw(good.join(marked.where(f"keep_{keep}").select(F.col("idx").alias("line_no")), "line_no", "left_semi"), output)
         if duplicates:
-            log = dedup.duplicate_log(good, "line_no", "text", keep, threshold=threshold, ngram=ngram, method=method, num_perm=num_perm, min_chars=min_chars)
+            log = dedup.duplicate_log(good, "line_no", "text", keep, data="raw", threshold=threshold, ngram=ngram, method=method, num_perm=num_perm, min_chars=min_chars)
             sinks.write(log.withColumns({"threshold": F.lit(threshold), "ngram": F.lit(ngram), "method": F.lit(method), "dedup_key": F.lit(dedup_key)}), duplicates)
     return stats
 
