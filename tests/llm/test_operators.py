@@ -421,6 +421,16 @@ def test_every_isolated_pair_just_over_the_similarity_is_found(spark):
     assert got == {i: i % 60 for i, _ in rows}
 
 
+def test_equal_prints_are_equal_shingle_sets(spark):
+    words = [f"w{i}" for i in range(20)]
+    rows = [(0, " ".join(words * 30)), (1, " ".join(words * 45).upper()), (2, " ".join(words * 30 + ["end"])), (3, "ab " * 300 + "cd"), (4, "ab " * 300 + "ef")]
+    sets = {i: shingles(t) for i, t in rows}
+    prints = {r.doc: (r.hi, r.lo) for r in simhash.set_prints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all((prints[i] == prints[j]) == (sets[i] == sets[j]) for i in sets for j in sets)
+    got = {r.doc: r.component for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4}
+
+
 def test_shingle_hashes_count_like_brute_force():
     for _, t, *_rest in ROWS:
         assert len(simhash.shingle_hashes(t)) == len(shingles(t)), t and t[:30]
