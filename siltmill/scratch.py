@@ -12,13 +12,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Paths of the tables that are still there, in the order of their writing.
+_WRITTEN: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where none is set (tests)."""
+    """The cluster's ``spark.checkpoint.dir``. Where none is set, a temporary folder if the session is local, as in
+    tests; on a cluster that is an error, as executors elsewhere could not read it."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         named = held.get() if held.isDefined() else None
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = "file://" + tempfile.mkdtemp(prefix="siltmill-")
         spark.sparkContext.setCheckpointDir(named)
     return f"{named.rstrip('/')}/siltmill-{spark.sparkContext.applicationId}"
@@ -33,23 +40,34 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
+    _WRITTEN.append(path)
     read = spark.read.schema(df.schema).parquet(path)
     read.scratch_path = path
     return read
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files of a table that ``materialize`` wrote and nobody reads any more."""
-    path = getattr(df, "scratch_path", None)
-    if path:
-        delete(df.sparkSession, path)
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``materialize`` wrote and nobody reads any more."""
+    for df in tables:
+        path = getattr(df, "scratch_path", None)
+        if path in _WRITTEN:
+            _WRITTEN.remove(path)
+            delete(df.sparkSession, path)
+
+
+def written() -> list[str]:
+    """The tables that are there now."""
+    return list(_WRITTEN)
+
+
+def discard_all(spark: SparkSession, paths: list[str]) -> None:
+    """Delete those of ``paths`` that are still there, once every result that reads one is written."""
+    for path in paths:
+        if path in _WRITTEN:
+            _WRITTEN.remove(path)
+            delete(spark, path)
 
 
 def delete(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def clear(spark: SparkSession) -> None:
-    """Delete every intermediate table of this application, once no result that reads one is needed any more."""
-    delete(spark, shared_dir(spark))
