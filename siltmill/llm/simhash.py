@@ -1,14 +1,14 @@
 """SimHash near-duplicates: a grid over segment popcounts proposes pairs, bits decide them.
 
-A fingerprint maps to the bit counts of its sixteen 4-bit segments. The Manhattan distance of two
-such vectors never exceeds the Hamming distance of the fingerprints, so fingerprints that differ in
-at most two bits have vectors at distance two or less, and then share a grid point at distance one
-or less from both. Each distinct fingerprint is therefore dealt to its own grid point and the 32
-beside it, and only fingerprints of one point are compared.
-
-A point that holds few fingerprints has its pairs compared directly. A crowded point (thousands of
-near copies) is never expanded into pairs: it is split by the 64-bit strings one flip away from its
-members. Two fingerprints differ in at most two bits exactly if they share such a string, and at most
+A fingerprint maps to the bit counts of its 32 two-bit segments. The Manhattan distance of two such
+vectors never exceeds the Hamming distance of the fingerprints, so fingerprints that differ in at most
+two bits have vectors that differ in at most two places. The places are cut into groups; all groups
+but two are then equal. Each distinct fingerprint is dealt to one cell for every choice of all groups but
+two, six cells of four groups, and only fingerprints of one cell are compared.
+
+A cell that holds few fingerprints has its pairs compared directly. The members of crowded cells
+(thousands of near copies) are never expanded into pairs: they are split by the 64-bit strings one flip
+away. Two fingerprints differ in at most two bits exactly if they share such a string, and at most
 65 distinct fingerprints share one, so every group stays small and no link is lost.
 """
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,7 @@ from siltmill.scratch import materialize
 
 #: Words of a shingle, seed of its XXH64, bits that may differ.
 SHINGLE, SEED, RADIUS = 3, 42, 2
-#: Grid points with more fingerprints than this are split by bit strings.
+#: Cells with more fingerprints than this are split by bit strings.
 CROWDED = 16
 #: Shingles whose bits are counted at a time, so that memory doesn't follow the length of a text.
 BLOCK = 1 << 15
@@ -68,44 +69,52 @@ def fingerprints(docs: DataFrame, doc="doc_id", text="text", shingle: int = SHIN
     return rows.toDF("doc", "t").mapInPandas(score, f"doc {kind}, fp long")
 
 
-_ONES = 0x1111111111111111
+#: Segments of two bits: their lower bits.
+_LOW = 0x5555555555555555
+#: Groups that the segments are cut into, by the number of distinct fingerprints: six cells each of 24 bits
+#: of random fingerprints' counts, or 28 cells of 36. The links are the same.
+FEW_GROUPS, MANY_GROUPS, MANY = 4, 8, 1 << 26
 
 
-def grid_point(fp: Column) -> Column:
-    """Popcounts of the sixteen 4-bit segments, each plus one, in a nibble of a long each."""
-    counts = [F.shiftrightunsigned(fp, k).bitwiseAND(F.lit(_ONES)) for k in range(4)]
-    return sum(counts[1:], counts[0]) + F.lit(_ONES)
+def popcounts(fp: Column) -> Column:
+    """Popcounts of the 32 segments, two bits each: 00, 01 or 10."""
+    a, b = fp.bitwiseAND(F.lit(_LOW)), F.shiftrightunsigned(fp, 1).bitwiseAND(F.lit(_LOW))
+    return a.bitwiseXOR(b).bitwiseOR(F.shiftleft(a.bitwiseAND(b), 1))
 
 
-def _points(fp: Column) -> Column:
-    at = grid_point(fp)
-    return F.array(at, *(at + F.lit(s * (1 << 4 * i)) for i in range(16) for s in (1, -1)))
+def cells(fp: Column, groups: int) -> Column:
+    """A cell for each choice of all groups but ``RADIUS``: the counts of the segments in them."""
+    at = popcounts(fp)
+    ends = [64 * g // groups // 2 * 2 for g in range(groups + 1)]
+    masks = [(1 << b) - (1 << a) for a, b in zip(ends, ends[1:], strict=False)]
+    some = [sum(c) for c in combinations(masks, groups - RADIUS)]
+    return F.array(*(F.xxhash64(F.lit(i), at.bitwiseAND(F.lit(_signed(m)))) for i, m in enumerate(some)))
 
 
-def _bit(k: int) -> int:
-    return (1 << k) - (1 << 64 if k == 63 else 0)
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
 def _close(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= RADIUS
 
 
-def links(prints: DataFrame) -> DataFrame:
+def links(prints: DataFrame, groups: int | None = None) -> DataFrame:
     """Distinct ``fp`` -> ``(src, dst)``: edges that connect exactly what chains of two-bit links connect."""
-    dealt = prints.select("fp", F.explode(_points(F.col("fp"))).alias("point"))
-    shared = dealt.groupBy("point").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
-    shared = materialize(shared, "points")
+    groups = groups or (FEW_GROUPS if prints.count() <= MANY else MANY_GROUPS)
+    dealt = prints.select("fp", F.explode(cells(F.col("fp"), groups)).alias("cell"))
+    shared = dealt.groupBy("cell").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
+    shared = materialize(shared, "cells")
     twos = shared.where("n = 2").select(F.col("a").alias("src"), F.col("b").alias("dst")).where(_close(F.col("src"), F.col("dst")))
-    members = materialize(dealt.join(shared.where("n > 2").select("point", "n"), "point"), "members")
+    members = materialize(dealt.join(shared.where("n > 2").select("cell", "n"), "cell"), "members")
 
-    few = members.where(F.col("n") <= CROWDED).groupBy("point").agg(F.collect_list("fp").alias("m"))
+    few = members.where(F.col("n") <= CROWDED).groupBy("cell").agg(F.collect_list("fp").alias("m"))
     pair = lambda x: F.transform(F.filter("m", lambda y: (y > x) & _close(x, y)), lambda y: F.struct(x.alias("src"), y.alias("dst")))
     few = few.select(F.inline(F.flatten(F.transform("m", pair))))
 
     fp = F.col("fp")
-    strings = F.array(fp, *(fp.bitwiseXOR(F.lit(_bit(k))) for k in range(64)))
-    many = members.where(F.col("n") > CROWDED)
-    many = many.select("fp", F.explode(F.filter(strings, lambda s: grid_point(s) == F.col("point"))).alias("string"))
+    strings = F.array(fp, *(fp.bitwiseXOR(F.lit(_signed(1 << k))) for k in range(64)))
+    many = members.where(F.col("n") > CROWDED).select("fp").distinct().select("fp", F.explode(strings).alias("string"))
     many = many.groupBy("string").agg(F.collect_set("fp").alias("m"), F.min("fp").alias("src")).where(F.size("m") > 1)
     many = many.select("src", F.explode("m").alias("dst")).where("src <> dst")
     return twos.unionByName(few).unionByName(many)
