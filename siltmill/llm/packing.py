@@ -43,12 +43,13 @@ class Encoder:
     ``tiktoken`` applies four times as fast. Merging by rank gives the ids that merging by the file's
     list gives, if under lower ranks each token splits into just the pair that its merge names; a
     test shows this of every token. Texts with other characters than Latin ones go through
-    ``tokenizers`` itself, as the libraries' tables of letters may be of different age.
+    ``tokenizers`` itself, as the libraries' tables of letters may be of different age, and so do
+    texts that hold the string of a special token, which gets its own id there.
     """
 
     def __init__(self, path: str, ranks: str | None = None):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.fast = None
         if ranks:
             with open(ranks, "rb") as f:
@@ -59,7 +60,7 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        if self.fast is None or _PLAIN.search(text):
+        if self.fast is None or _PLAIN.search(text) or any(s in text for s in self.special):
             return self.whole(text)
         return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
