@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,8 @@ from siltmill.ship import ship
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Rows and bytes of an Arrow batch that carries whole texts.
+#: Rows and bytes of an Arrow batch. Spark reads them when a plan runs, from the session, so they are the same for
+#: all operators: a plan that is built later can't change the bound of one that is still to run.
 TEXT_BATCH, BATCH_BYTES = 512, "16m"
 
 
@@ -19,16 +22,29 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def text_batches(df: DataFrame, rows: int = TEXT_BATCH) -> DataFrame:
+def text_batches(df: DataFrame) -> DataFrame:
     """``df`` for a Python operator: the package is shipped, and what a worker holds at once is bounded by
     rows and by bytes, as texts may be very long."""
     ship(df.sparkSession)
     conf = df.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH))
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df
 
 
+def runs(texts: list, most: int) -> Iterator[slice]:
+    """Slices of ``texts`` with ``most`` characters at most, or a single text that has more."""
+    start = held = 0
+    for i, t in enumerate(texts):
+        size = len(t or "")
+        if i > start and held + size > most:
+            yield slice(start, i)
+            start, held = i, 0
+        held += size
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
 def replacing(df: DataFrame, **columns: Column) -> DataFrame:
     """``df`` with ``columns`` at its end; columns of the same name (in any case) give way."""
     taken = {c.lower() for c in columns}

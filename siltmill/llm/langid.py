@@ -17,14 +17,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltmill.llm.common import needed, text_batches
+from siltmill.llm.common import needed, runs, text_batches
 
-#: A word is a run of letters, of any script.
-WORD = re.compile(r"[^\W\d_]+")
+#: Runs of letters of any script and of numbers that aren't digits, such as a half or a Roman numeral's sign.
+_RUN = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 BUCKETS = 1 << 16
-#: Words of a block of forward-backward, and words whose scores a Python worker remembers.
-BLOCK, REMEMBERED = 32, 150_000
+#: Words of a block of forward-backward, words whose scores a Python worker remembers, and characters tagged at once.
+BLOCK, REMEMBERED, HELD = 32, 150_000, 500_000
 
 
 @dataclass(frozen=True)
@@ -40,6 +40,15 @@ class Fit:
     seed: int = 5
 
 
+def words_of(text: str) -> list[str]:
+    """Runs of letters (Unicode categories L), in lower case."""
+    low = text.lower()
+    words = _RUN.findall(low)
+    if all(map(str.isalpha, words)):
+        return words
+    return "".join(c if c.isalpha() else " " for c in low).split()
+
+
 def _mix(*parts: np.ndarray | int) -> np.ndarray:
     h = np.uint64(1469598103934665603)
     with np.errstate(over="ignore"):
@@ -155,7 +164,7 @@ def learn(texts: list[tuple[str, str]], fit: Fit = Fit()) -> Field | None:
     Training sequences are code-switched: runs of words of different texts follow each other, each word
     labelled with the language of its text, so that transitions are learned as well.
     """
-    texts = [(WORD.findall(t.lower()), lang) for t, lang in texts if t and lang is not None]
+    texts = [(words_of(t), lang) for t, lang in texts if t and lang is not None]
     texts = [(w, lang) for w, lang in texts if w]
     languages = tuple(sorted({lang for _, lang in texts}))
     if not languages:
@@ -248,7 +257,7 @@ class Tagger:
 
     def tag(self, texts: list[str | None]) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
         """(words of each text, number of words of each, marginals of all words in order)."""
-        words = [WORD.findall(t.lower()) if t else [] for t in texts]
+        words = [words_of(t) if t else [] for t in texts]
         if len(self.number) > REMEMBERED:
             self.number, self.scores = {}, self.scores[:0]
         fresh = list(dict.fromkeys(w for row in words for w in row if w not in self.number))
@@ -287,15 +296,19 @@ def predict(docs: DataFrame, field: Field | None, doc="doc_id", text="text") ->
     """``(doc, lang_pred, score)``, a row for each row of ``docs``, from the text alone.
 
     A null text, one without a letter, and any text if nothing was learned are ``und`` with score 0;
-    else score is the mean marginal probability of the language over the words.
+    else score is the mean marginal probability of the language over the words. Texts are read whole,
+    whatever their length; repeated rows get equal results, and of languages with equal sums the first
+    by name is taken. Other columns are ignored, whatever their names; an empty table gives no row.
     """
-    rows = text_batches(needed(docs, doc, text), 128)
+    rows = text_batches(needed(docs, *dict.fromkeys((doc, text))))
     kind = rows.schema[doc].dataType.simpleString()
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tagger = Tagger(field) if field else None
         for b in batches:
-            names, score = tagger.languages_of(list(b["t"])) if tagger else ([UNKNOWN] * len(b), np.zeros(len(b)))
-            yield pd.DataFrame({"doc": b["doc"], "lang_pred": names, "score": score})
+            for part in runs(list(b["t"]), HELD):
+                some = b.iloc[part]
+                names, score = tagger.languages_of(list(some["t"])) if tagger else ([UNKNOWN] * len(some), np.zeros(len(some)))
+                yield pd.DataFrame({"doc": some["doc"].to_numpy(), "lang_pred": names, "score": score})
 
     return rows.toDF("doc", "t").mapInPandas(decide, f"doc {kind}, lang_pred string, score double")

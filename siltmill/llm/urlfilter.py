@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.llm.common import LOWER, UPPER, ascii_lower, replacing, text_batches
@@ -30,11 +30,17 @@ class Rule:
 #: (term, weight). A term of weight STRICT rejects alone.
 STRICT, SOFT = 2, 1
 VOCABULARY = (
-    ("casino", STRICT), ("porn", STRICT), ("viagra", STRICT), ("xxx", STRICT),
-    ("ads", SOFT), ("bets", SOFT), ("bonus", SOFT), ("cheap", SOFT), ("farm", SOFT), ("free", SOFT),
-    ("pills", SOFT), ("spam", SOFT), ("track", SOFT), ("win", SOFT),
+    ("blackjack", STRICT), ("camgirls", STRICT), ("casino", STRICT), ("cialis", STRICT), ("escorts", STRICT), ("hentai", STRICT), ("porn", STRICT), ("porno", STRICT),
+    ("viagra", STRICT), ("warez", STRICT), ("xxx", STRICT),
+    ("adult", SOFT), ("ads", SOFT), ("bet", SOFT), ("bets", SOFT), ("bingo", SOFT), ("bonus", SOFT), ("cheap", SOFT), ("clickbait", SOFT), ("coupon", SOFT), ("crack", SOFT), ("dating", SOFT),
+    ("farm", SOFT), ("free", SOFT), ("gambling", SOFT), ("jackpot", SOFT), ("keygen", SOFT), ("loans", SOFT), ("lottery", SOFT), ("nude", SOFT), ("pills", SOFT), ("poker", SOFT),
+    ("replica", SOFT), ("sex", SOFT), ("slots", SOFT), ("spam", SOFT), ("torrent", SOFT), ("track", SOFT), ("win", SOFT),
 )
 MIN_SOFT = 2
+#: Rules that are written out as an expression; more are looked up by host in a table that every executor gets.
+WRITTEN_OUT = 32
+#: Entries that a rule or vocabulary file may have.
+MOST_ENTRIES = 1_000_000
 
 
 def host_of(url: Column) -> Column:
@@ -51,8 +57,36 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.when(at > 0, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)), F.lit(""))
 
 
+class RuleTable:
+    """Rules by host, each host's longest paths first."""
+
+    def __init__(self, rules: Sequence[Rule]):
+        self.paths: dict[str, list[tuple[str, str, str]]] = {}
+        for r in sorted(rules, key=lambda r: (len(r.name), r.name), reverse=True):
+            self.paths.setdefault(r.host, []).append((r.path, r.name, r.action))
+
+    def find(self, host: str | None, path: str | None) -> tuple[str | None, str | None]:
+        """(name, action) of the longest rule of the host or a domain above it whose path the url's starts with."""
+        best, at = None, host
+        while host is not None and at is not None:
+            fit = next((p for p in self.paths.get(at, ()) if (path or "").startswith(p[0])), None)
+            if fit and (best is None or (len(fit[1]), fit[1]) > (len(best[1]), best[1])):
+                best = fit
+            at = at.partition(".")[2] if "." in at else None
+        return (best[1], best[2]) if best else (None, None)
+
+
 def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
-    """The longest rule that fits, as struct(name, action), else null. One pass in generated code."""
+    """The longest rule that fits, as struct(name, action), else null: in generated code if the rules are few."""
+    if len(rules) > WRITTEN_OUT:
+        rule_table = RuleTable(rules)
+
+        @F.pandas_udf("struct<name:string,action:string>")
+        def look_up(hosts: pd.Series, paths: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame([rule_table.find(h, p) for h, p in zip(hosts, paths, strict=True)], columns=["name", "action"], dtype=object)
+
+        found = look_up(host, path)
+        return F.when(found["name"].isNotNull(), found)
     found = F.lit(None).cast("struct<name:string,action:string>")
     for r in sorted(rules, key=lambda r: (len(r.name), r.name)):
         fits = ((host == r.host) | host.endswith("." + r.host)) & path.startswith(r.path)
@@ -60,6 +94,30 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return found
 
 
+def _entries(spark: SparkSession, path: str, most: int) -> list[list[str]]:
+    lines = spark.read.text(path).select(F.btrim("value").alias("v")).where("v <> '' and v not like '#%'").limit(most + 1).collect()
+    if len(lines) > most:
+        raise ValueError(f"{path} has more than {most} entries")
+    return [r["v"].split() for r in lines]
+
+
+def read_rules(spark: SparkSession, path: str, most: int = MOST_ENTRIES) -> list[Rule]:
+    """Rules of a file of lines such as ``block example.com/de/``; at most ``most``, else an error. # starts a comment."""
+    found = []
+    for action, name in _entries(spark, path, most):
+        host, slash, rest = name.partition("/")
+        if action not in ("allow", "block") or not host:
+            raise ValueError(f"no rule: {action} {name}")
+        found.append(Rule(action, host.lower(), slash + rest))
+    return found
+
+
+def read_vocabulary(spark: SparkSession, path: str, most: int = MOST_ENTRIES) -> list[tuple[str, int]]:
+    """Terms of a file of lines such as ``casino strict``; at most ``most``, else an error. # starts a comment."""
+    weights = {"strict": STRICT, "soft": SOFT}
+    return [(term.lower(), weights[weight]) for term, weight in _entries(spark, path, most)]
+
+
 @lru_cache(maxsize=8)
 def _automaton(vocabulary: tuple):
     a = ahocorasick.Automaton()
@@ -115,7 +173,7 @@ def judge_urls(
         raise ValueError("a vocabulary term may not be empty")
     vocabulary = tuple(vocabulary) or (("\0", STRICT),)
     u = F.col(f"`{url}`")
-    found = text_batches(df, 10_000).withColumn("__hits", vocabulary_hits(u, vocabulary))
+    found = text_batches(df).withColumn("__hits", vocabulary_hits(u, vocabulary))
     host, path = host_of(u), path_of(u)
     rule = rule_of(host, path, rules)
     strict, soft = F.col("__hits.strict"), F.col("__hits.soft")
