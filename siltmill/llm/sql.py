@@ -62,8 +62,10 @@ SELECT d.doc_id, coalesce(g.n_lines, 0)::BIGINT AS n_lines, coalesce(g.n_removed
 FROM d LEFT JOIN g USING (doc_id)"""
 
 
-def op10(masks, most: int) -> str:
+def op10(masks, overlap: int, most: int, phrase: int) -> str:
     shortest = min(map(len, masks))
+    reach = max(0, overlap - shortest)
+    window = reach + max(overlap, *map(len, masks))
 
     def words(ident: str, source: str) -> str:
         return f"SELECT {ident}, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM {source} WHERE text IS NOT NULL"
@@ -71,17 +73,26 @@ def op10(masks, most: int) -> str:
     def keyed(ident: str, source: str) -> str:
         def one(m: int, mask: str) -> str:
             kept = ", ".join(f"w[pos + {i + 1}]" for i, c in enumerate(mask) if c == "1")
-            rest = ", ".join(f"w[pos + {i + 1}]" for i, c in enumerate(mask) if c == "0")
-            return f"SELECT {ident}, pos, {len(mask)} AS reach, [{rest}] AS rest, concat_ws(' ', {m}, {kept}) AS key FROM {source} WHERE pos + {len(mask)} <= len(w)"
+            return f"SELECT {ident}, pos, w, {len(mask)} AS reach, concat_ws(' ', {m}, {kept}) AS key FROM {source} WHERE pos + {len(mask)} <= len(w)"
 
         return " UNION ALL ".join(one(m, mask) for m, mask in enumerate(masks))
 
+    at = lambda side: f"CASE WHEN {side}.pos + k >= 0 THEN {side}.w[{side}.pos + k + 1] END"
     return f"""
-WITH dw AS ({words("doc_id", "documents")}), iw0 AS ({words("item_id", "benchmark")}),
-iw AS (SELECT min(item_id) AS item_id, w FROM iw0 GROUP BY w),
-dp AS (SELECT doc_id, w, pos FROM dw, unnest(range(0, len(w) - {shortest} + 1)) AS u(pos)),
-ip AS (SELECT item_id, w, pos FROM iw, unnest(range(0, len(w) - {shortest} + 1)) AS u(pos)),
+WITH dw AS ({words("doc_id", "documents")}), iw AS ({words("item_id", "benchmark")}),
+dp AS (SELECT doc_id, w, pos FROM dw, unnest(range(0, len(w))) AS u(pos)),
+ip AS (SELECT item_id, w, pos FROM iw, unnest(range(0, len(w))) AS u(pos)),
 d AS ({keyed("doc_id", "dp")}), i AS ({keyed("item_id", "ip")}),
-h AS (SELECT doc_id, item_id, d.pos AS pos, d.reach AS reach, list_zip(d.rest, i.rest) AS z FROM d JOIN i ON d.key = i.key)
+h AS (
+  SELECT doc_id, item_id, d.pos AS pos, d.reach AS reach, least({overlap}, len(d.w), len(i.w)) AS need,
+    list_transform(range({-reach}, {window - reach}), lambda k: CASE WHEN {at("d")} = {at("i")} THEN 0 WHEN {at("d")} <> {at("i")} THEN 1 ELSE 1000 END) AS z
+  FROM d JOIN i ON d.key = i.key
+), v AS (
+  SELECT doc_id, item_id, pos, reach FROM h
+  WHERE len(list_filter(range(0, {reach + 1}), lambda j: j - {reach} + need >= reach AND list_sum(z[j + 1 : j + need]) <= {most})) > 0
+  UNION ALL
+  SELECT doc_id, item_id, pos, len(iw.w) AS reach FROM dp JOIN iw
+    ON len(iw.w) BETWEEN 1 AND {shortest - 1} AND dp.w[pos + 1 : pos + len(iw.w)] = iw.w AND (len(iw.w) >= {phrase} OR len(dp.w) = len(iw.w))
+)
 SELECT doc_id, item_id, count(*) AS n_hits, min(pos)::BIGINT AS first_word, max(pos + reach - 1)::BIGINT AS last_word
-FROM h WHERE len(list_filter(z, lambda x: x[1] <> x[2])) <= {most} GROUP BY doc_id, item_id"""
+FROM v GROUP BY doc_id, item_id"""
