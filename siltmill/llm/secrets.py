@@ -1,8 +1,10 @@
 """Secret scans: fixed patterns, and a character convolutional network over every other candidate.
 
 The network sees a candidate and the characters around it. It is trained here, in numpy, on labelled
-findings; its scores are calibrated on findings it has not seen, and the threshold is the highest
-that keeps a stated recall on them.
+findings: those of the corpus, where the patterns say what is a secret and what else looks like one, and
+made-up ones of formats that the corpus may lack. Its scores are calibrated on findings it has not
+seen, and the threshold is the highest that keeps a stated recall on them. Every candidate is scored, pattern
+findings included; these stay whatever their score.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from siltmill.llm.common import needed, text_batches
 
@@ -29,9 +32,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-#: A candidate: a run of these characters with a digit and a letter in it.
+#: A candidate: a run of these characters.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-_MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])")
 
 LEFT, BODY, RIGHT = 20, 48, 8
 LENGTH = LEFT + BODY + RIGHT
@@ -44,20 +46,35 @@ for _i, _c in enumerate(string.printable[:95]):
 SYMBOLS = 97
 
 
-def base_spans(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of the pattern findings, in order."""
+def base_findings(text: str) -> list[tuple[int, int, str, int]]:
+    """(start, end, kind, where the secret itself starts) of the pattern findings, in order."""
     out = []
     low = text.lower()
     if any(n in low for n in _NAMES):
-        out += [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= MIN_ASSIGN]
+        out += [(m.start(), m.end(), "assign", m.start(2)) for m in ASSIGN.finditer(text) if len(m[2]) >= MIN_ASSIGN]
     if "AKIA" in text:
-        out += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
-    out += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
+        out += [(m.start(), m.end(), "access", m.start()) for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
+    out += [(m.start(), m.end(), "hex", m.start()) for m in HEX.finditer(text)]
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def base_spans(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of the pattern findings, in order."""
+    return [f[:3] for f in base_findings(text)]
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
-    return [(m.start(), m.end()) for m in CANDIDATE.finditer(text) if _MIXED.match(m[0])]
+    return [(m.start(), m.end()) for m in CANDIDATE.finditer(text)]
+
+
+def open_candidates(text: str, base: list[tuple[int, int, str, int]]) -> Iterator[tuple[int, int]]:
+    """The candidates that overlap no pattern finding."""
+    k, reach = 0, 0
+    for s, e in candidates(text):
+        while k < len(base) and base[k][0] < e:  # both are in order of their starts
+            reach, k = max(reach, base[k][1]), k + 1
+        if s >= reach:
+            yield s, e
 
 
 def window(text: str, start: int, end: int) -> tuple[str, str, str]:
@@ -76,7 +93,7 @@ def windows(text: str, start: int, end: int) -> Iterator[tuple[str, str, str]]:
         for s in (*range(start + STRIDE, end - BODY, STRIDE), end - BODY):
             yield window(text, s, min(end, s + BODY))
         for m in _PART.finditer(text, start, end):
-            if (m.start(), m.end()) != (start, end) and _MIXED.match(m[0]):
+            if (m.start(), m.end()) != (start, end):
                 yield from windows(text, m.start(), m.end())
 
 
@@ -106,6 +123,8 @@ class Network:
     scale: float = 1.0
     shift: float = 0.0
     threshold: float = 0.5
+    #: Of the findings held back: how many, recall and precision at the threshold, and mean squared error of the probability.
+    report: dict[str, float] | None = None
 
     def _forward(self, ids: np.ndarray, mark: np.ndarray):
         x = np.concatenate([self.embed[ids], mark[:, :, None]], axis=2)
@@ -193,6 +212,12 @@ def train(
     net.threshold = max(0.5, float(hits[int((1 - recall) * len(hits))])) if len(hits) else 1.1
     if len(hits) and (hits >= net.threshold).mean() < recall:
         net.threshold = float(hits[int((1 - recall) * len(hits))])
+    p = _sigmoid(scale * z + shift)
+    found = p >= net.threshold
+    net.report = {
+        "held": len(p), "secrets": int(yh.sum()), "recall": float(found[yh > 0].mean()) if (yh > 0).any() else 1.0,
+        "precision": float(yh[found].mean()) if found.any() else 1.0, "squared_error": float(((p - yh) ** 2).mean()) if len(p) else 0.0,
+    }
     return net
 
 
@@ -246,21 +271,50 @@ def default_network() -> Network:
     return train(labelled_findings())
 
 
+def corpus_findings(docs: DataFrame, most: int = 2000, text="text") -> list[tuple[tuple[str, str, str], int]]:
+    """At most ``most`` distinct secrets and as many other candidates of the whole corpus, by a hash of what the network
+    sees, with the windows of each: what the patterns find is a secret, and a candidate that they leave is none."""
+    rows = text_batches(needed(docs, text)).toDF("t")
+
+    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for t in b["t"]:
+                t = t or ""
+                base = base_findings(t)
+                out += [(1, *window(t, v, e)) for _, e, _, v in base if e - v >= 16]
+                out += [(0, *w) for s, e in open_candidates(t, base) for w in windows(t, s, e)]
+            yield pd.DataFrame(out, columns=["y", "a", "b", "c"])
+
+    seen = rows.mapInPandas(label, "y int, a string, b string, c string").distinct()
+    out = []
+    for y in (0, 1):
+        some = seen.where(F.col("y") == y).orderBy(F.xxhash64("a", "b", "c"), "a", "b", "c").limit(most).collect()
+        out += [((r["a"], r["b"], r["c"]), y) for r in some]
+    return out
+
+
+def fit(docs: DataFrame, most: int = 2000, recall: float = 0.98, text="text") -> Network:
+    """A network for the findings of ``docs`` and made-up ones; see ``corpus_findings`` for the bound."""
+    return train(corpus_findings(docs, most, text) + labelled_findings(), recall)
+
+
 def scan(docs: DataFrame, network: Network | None = None, doc="doc_id", text="text") -> DataFrame:
-    """``(doc, findings array<struct<start,end,kind,score>>)``, a row for each row of ``docs``.
+    """``(doc, findings array<struct<start,end,kind,score>>, n_scored)``, a row for each row of ``docs``.
 
-    Pattern findings all stay, with score 1. A candidate that overlaps none of them is scored by the
-    network on windows that cover it, and found, as kind ``cnn``, if the highest score is at its threshold or more. Starts and ends are in code points,
-    ends exclusive. Null and empty texts have no finding; texts are read whole; nothing is shuffled.
+    Pattern findings all stay, with the network's score of their secret. A candidate that overlaps none of them
+    is found, as kind ``cnn``, if the highest score of the windows that cover it is at the threshold or
+    more; n_scored counts the findings and candidates scored. Starts and ends are in code points, ends exclusive. Null and
+    empty texts have no finding; texts of any length are read whole; repeated rows get equal results.
+    Other columns are ignored, whatever their names; an empty table gives no row. Nothing is shuffled.
     """
     net = network or default_network()
-    rows = text_batches(needed(docs, doc, text))
+    rows = text_batches(needed(docs, *dict.fromkeys((doc, text))))
     kind = rows.schema[doc].dataType.simpleString()
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found: list[list] = []
-            open_: list[tuple[int, int, int]] = []
+            asked: list[tuple[int, int, int, str]] = []
             best: list[float] = []
             seen: list[tuple[str, str, str]] = []
             whose: list[int] = []
@@ -273,29 +327,28 @@ def scan(docs: DataFrame, network: Network | None = None, doc="doc_id", text="te
 
             for i, t in enumerate(b["t"]):
                 t = t or ""
-                base = base_spans(t)
-                found.append([{"start": s, "end": e, "kind": k, "score": 1.0} for s, e, k in base])
-                k, reach = 0, 0
-                for s, e in candidates(t):
-                    while k < len(base) and base[k][0] < e:  # both are in order of their starts
-                        reach, k = max(reach, base[k][1]), k + 1
-                    if s >= reach:
-                        open_.append((i, s, e))
-                        best.append(0.0)
-                        for w in windows(t, s, e):
-                            seen.append(w)
-                            whose.append(len(best) - 1)
-                            if len(seen) == SCORED:
-                                score()
+                base = base_findings(t)
+                spans = [(s, e, k, v) for s, e, k, v in base] + [(s, e, "cnn", s) for s, e in open_candidates(t, base)]
+                for s, e, k, v in spans:
+                    asked.append((i, s, e, k))
+                    best.append(0.0)
+                    for w in windows(t, v, e):
+                        seen.append(w)
+                        whose.append(len(best) - 1)
+                        if len(seen) == SCORED:
+                            score()
             score()
-            for (i, s, e), p in zip(open_, best, strict=True):
-                if p >= net.threshold:
-                    found[i].append({"start": s, "end": e, "kind": "cnn", "score": p})
+            found: list[list] = [[] for _ in range(len(b))]
+            scored = np.zeros(len(b), np.int64)
+            for (i, s, e, k), p in zip(asked, best, strict=True):
+                scored[i] += 1
+                if k != "cnn" or p >= net.threshold:
+                    found[i].append({"start": s, "end": e, "kind": k, "score": p})
             for f in found:
                 f.sort(key=lambda x: (x["start"], KINDS.index(x["kind"])))
-            yield pd.DataFrame({"doc": b["doc"], "findings": found})
+            yield pd.DataFrame({"doc": b["doc"], "findings": found, "n_scored": scored})
 
-    return rows.toDF("doc", "t").mapInPandas(find, f"doc {kind}, findings array<struct<start:long,end:long,kind:string,score:double>>")
+    return rows.toDF("doc", "t").mapInPandas(find, f"doc {kind}, findings array<struct<start:long,end:long,kind:string,score:double>>, n_scored long")
 
 
 def sha256_of(spans: str) -> str:
