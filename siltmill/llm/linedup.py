@@ -78,15 +78,15 @@ def line_spread(docs: DataFrame, spread: Spread = Spread(), doc="doc_id", text="
     return materialize(lines, "boilerplate"), seen
 
 
-def remove_boilerplate(docs: DataFrame, spread: Spread = Spread(), doc="doc_id", text="text", site="source") -> DataFrame:
-    """``docs`` with ``text`` freed of boilerplate lines, and columns n_lines and n_removed.
+def remove_boilerplate(docs: DataFrame, spread: Spread = Spread(), doc="doc_id", text="text", site="source", n_lines="n_lines", n_removed="n_removed") -> DataFrame:
+    """``docs`` with ``text`` freed of boilerplate lines, and columns n_lines and n_removed, or of other names.
 
     A line, trimmed of white space, that stands in documents of ``min_sites`` distinct sites or
     more is removed from all places but the first, by document id and position, so that no text
     vanishes from the corpus. Blank lines stay. Null text stays null with 0 lines; an empty text
     is one blank line. Null sites count as no site; a null id sorts first. Rows with equal id and
-    text are one document and are treated alike. Input columns named n_lines, n_removed (and
-    nothing else) are replaced.
+    text are one document and are treated alike. Input columns named as the two counts (and
+    nothing else) are replaced. Texts of any length are read whole; an empty table stays empty.
     """
     lines, seen = line_spread(docs, spread, doc, text, site)
     few = lines.count() <= spread.broadcast_lines
@@ -100,11 +100,11 @@ def remove_boilerplate(docs: DataFrame, spread: Spread = Spread(), doc="doc_id",
     joined = docs.withColumns({"__k1": k1, "__k2": k2}).join(drops, ["__k1", "__k2"], "left").drop("__k1", "__k2")
     split = F.split(t, "\n")
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__drop")), lambda i: F.get(split, i))
-    out = replacing(
-        joined,
-        n_lines=F.coalesce(F.when(t.isNotNull(), F.size(split)), F.lit(0)).cast("long"),
-        n_removed=F.when(F.col("__drop").isNull(), 0).otherwise(F.size("__drop")).cast("long"),
-    )
+    counts = {
+        n_lines: F.coalesce(F.when(t.isNotNull(), F.size(split)), F.lit(0)).cast("long"),
+        n_removed: F.when(F.col("__drop").isNull(), 0).otherwise(F.size("__drop")).cast("long"),
+    }
+    out = replacing(joined, **counts)
     clean = F.when(F.col("__drop").isNull(), t).otherwise(F.array_join(kept, "\n"))
     order = [c for c in out.columns if c != "__drop"]
     return out.withColumn(text, clean).select(*(F.col(f"`{c}`") for c in order))

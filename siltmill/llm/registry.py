@@ -38,14 +38,15 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.fit(docs))
     written = F.transform("findings", lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["end"].cast("string")))
     of_kind = lambda k: F.size(F.filter("findings", lambda f: f["kind"] == k)).cast("long")
     count = {k: of_kind(k) for k in secrets.KINDS}
     base = F.array_join(F.filter(written, lambda w: ~w.startswith("cnn:")), ",")
     return found.select(
         F.col("doc").alias("doc_id"), count["assign"].alias("n_assign"), count["access"].alias("n_access"), count["hex"].alias("n_hex"),
-        F.sha2(base, 256).alias("base_sha256"), F.array_join(written, ",").alias("spans"), count["cnn"].alias("n_added"),
+        F.sha2(base, 256).alias("base_sha256"), F.array_join(written, ",").alias("spans"), count["cnn"].alias("n_added"), "n_scored",
     )
 
 
@@ -87,9 +88,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
+    seeds = decontam.Seeds()
     return {
         "op3_urls": sql.op3(RULES, urlfilter.VOCABULARY, urlfilter.STRICT, urlfilter.MIN_SOFT),
         "op4_warc": sql.OP4,
         "op8_lines": sql.OP8,
-        "op10_leaks": sql.op10(decontam.Seeds().masks, decontam.Seeds().max_substitutions),
+        "op10_leaks": sql.op10(seeds.masks, seeds.overlap, seeds.max_substitutions, seeds.phrase),
     }

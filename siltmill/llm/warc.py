@@ -22,8 +22,10 @@ from siltmill.scratch import materialize, new_path
 
 END = "\r\n\r\n"
 MIN_PAYLOAD = 1000
-#: Records of one archive file at most, so that a file stays of a size one task can read.
-RECORDS_PER_FILE = 10_000
+#: Records of one archive file by the bytes of their payloads, so that a file holds at most FILE_BYTES of payloads, or one
+#: larger record: (bytes, most records), and one record a file beyond.
+FILE_BYTES = 1 << 28
+KINDS = ((1 << 14, FILE_BYTES >> 14), (1 << 20, FILE_BYTES >> 20), (1 << 25, FILE_BYTES >> 25))
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -53,11 +55,15 @@ def write_archives(pages: DataFrame, path: str, date: str, page="page_id", url="
     ``payload`` may be text (as UTF-8) or bytes; null is empty. Rows whose key is null are always
     responses; rows repeated under the largest key of their payload are all responses, with equal
     records. ``date`` is the WARC-Date of every record, so that a repeated task writes the same bytes.
+    Payloads of any length are written whole; longer ones go to files of fewer records, so that any file
+    can be read by one task. Other columns are ignored, whatever their names.
     """
     body = F.coalesce(F.col(f"`{payload}`").cast("binary"), F.lit(b""))
     rows = pages.select(F.col(f"`{page}`").alias("key"), F.col(f"`{url}`").cast("string").alias("url"), body.alias("body"))
     digest, size = F.sha1("body"), F.octet_length("body")
-    repeats = materialize(resolve(rows.select("key", digest.alias("digest"), size.cast("long").alias("size")), "key", min_payload), "revisits")
+    headers = materialize(rows.select("key", digest.alias("digest"), size.cast("long").alias("size")), "headers")
+    largest = headers.agg(F.max("size")).first()[0] or 0
+    repeats = materialize(resolve(headers, "key", min_payload), "revisits")
     marked = rows.withColumn("digest", digest).join(repeats.distinct(), ["key", "digest"], "left")
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length("body").cast("string"), F.lit(END))
     again = F.col("refers_to").isNotNull()
@@ -77,8 +83,14 @@ def write_archives(pages: DataFrame, path: str, date: str, page="page_id", url="
         F.lit(END),
     )
     record = F.concat(F.encode(head, "utf-8"), F.col("block"))
-    out = marked.withColumn("block", block).select(record.cast("string").alias("value"))  # the cast keeps the bytes
-    out.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    low = -1
+    for high, records in (*KINDS, (None, 1)):
+        some = marked.where(size > low) if high is None else marked.where(size.between(low + 1, high))
+        out = some.withColumn("block", block).select(record.cast("string").alias("value"))  # the cast keeps the bytes
+        out.write.mode("errorifexists" if low < 0 else "append").option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", records).text(path)
+        low = high
+        if high is None or largest <= high:
+            break
 
 
 class Stream:
@@ -197,7 +209,11 @@ def deduplicate_archives(spark: SparkSession, source: str, target: str, date: st
 
 
 def round_trip(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", page="page_id", url="url", payload="html", min_payload: int = MIN_PAYLOAD) -> DataFrame:
-    """``(key, payload_bytes, payload_digest, record_type, refers_to)`` as read back from freshly written archives."""
+    """``(key, payload_bytes, payload_digest, record_type, refers_to)`` as read back from freshly written archives.
+
+    A row for each row of ``pages``, repeated ones included; null payloads are empty, null keys are never
+    revisits, payloads of any length are kept whole, and an empty table gives no row. Other columns are ignored.
+    """
     spark = pages.sparkSession
     path = new_path(spark, "warc")
     write_archives(pages, path, date, page, url, payload, min_payload)
