@@ -58,6 +58,15 @@ def has_forbidden_call(output: Column, names=FORBIDDEN) -> Column:
     return F.coalesce(F.exists(output["tool_calls"], lambda c: c["name"].isin(*names)), F.lit(False))
 
 
+def exposed_tools(raw: Column, catalog: str = "[]", names=FORBIDDEN) -> Column:
+    """array<variant>: the tools that a row exposes, whole, without forbidden ones. A row without the field has those of
+    ``catalog`` (JSON); an empty list is no absent field, and anything but a list is an empty one."""
+    absent = ~F.coalesce(F.array_contains(F.json_object_keys(raw), "tools"), F.lit(False))
+    listed = F.try_variant_get(F.try_parse_json(F.when(absent, F.concat(F.lit('{"tools": '), F.lit(catalog), F.lit("}"))).otherwise(raw)), "$.tools", "array<variant>")
+    name = lambda t: F.coalesce(F.try_variant_get(t, "$.function.name", "string"), F.lit(""))
+    return F.coalesce(F.filter(listed, lambda t: ~name(t).isin(*names)), F.array().cast("array<variant>"))
+
+
 def until_forbidden(steps: Column, names=FORBIDDEN) -> Column:
     """The steps before the first with a forbidden call."""
     bad = F.array_position(F.transform(steps, lambda s: has_forbidden_call(s["planner_output"], names)), True)
@@ -174,7 +183,12 @@ def backfill(steps: Column, resolve) -> Column:
     return F.when(F.size(steps) > 0, F.transform(steps, patch)).otherwise(steps)
 
 
+def backfilled(before: Column, after: Column) -> Column:
+    """Places of the steps that ``backfill`` changed."""
+    places = F.transform(F.zip_with(before, after, lambda a, b: ~a["planner_output"]["intent"].eqNullSafe(b["planner_output"]["intent"])), lambda c, i: F.when(c, i))
+    return F.coalesce(F.array_compact(places), F.array().cast("array<int>"))
+
+
 def backfill_count(before: Column, after: Column) -> Column:
     """How many steps ``backfill`` changed."""
-    changed = F.zip_with(before, after, lambda a, b: ~a["planner_output"]["intent"].eqNullSafe(b["planner_output"]["intent"]))
-    return F.size(F.filter(changed, lambda c: c)).cast("long")
+    return F.size(backfilled(before, after)).cast("long")

@@ -74,17 +74,18 @@ def shortened(c: Column, most: int) -> Column:
     return truncate(c, most)
 
 
+# How a text states its decision for an intent, which stands for {one}; letters of any case.
+DECISIONS = (
+    "(?:整体意图|用户意图|意图|intent|类别|分类)\\s*(?:是|为|应为|应该是|判定为|判断为|归为|归类为|属于|:|：)\\s*[“\"'「『]?({one})",
+    "(?:归为|归类为|判定为|判断为|属于|应该是|应为|算是|视为)\\s*[“\"'「『]?({one})[”\"'」』]?\\s*(?:类别|类|意图)?",
+    "[“\"'「『]?({one})[”\"'」』]?\\s*(?:类别|类|意图)",
+    "({one})\\s*(?:更合适|更准确|更贴切)",
+)
+
+
 def _patterns(names: list[str]) -> list[re.Pattern]:
     one = "|".join(map(re.escape, names))
-    verbs = "是|为|应为|应该是|判定为|判断为|归为|归类为|属于|:|："
-    claims = "归为|归类为|判定为|判断为|属于|应该是|应为|算是|视为"
-    return [
-        re.compile(p, re.IGNORECASE)
-        for p in (
-            rf"(?:整体意图|用户意图|意图|intent|类别|分类)\s*(?:{verbs})\s*[“\"'「『]?({one})", rf"(?:{claims})\s*[“\"'「『]?({one})[”\"'」』]?\s*(?:类别|类|意图)?",
-            rf"[“\"'「『]?({one})[”\"'」』]?\s*(?:类别|类|意图)", rf"({one})\s*(?:更合适|更准确|更贴切)",
-        )
-    ]
+    return [re.compile(p.replace("{one}", one), re.IGNORECASE) for p in DECISIONS]
 
 
 def intent_in(text: str | None, domain: Domain, patterns: list[re.Pattern] | None = None) -> str | None:

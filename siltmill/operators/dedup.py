@@ -137,13 +137,14 @@ def deduplicate(rows: DataFrame, idx: str, text: str, keep: str = "longest", **o
     return rows.join(chosen, idx, "left_semi")
 
 
-def duplicate_log(rows: DataFrame, idx: str, text: str, keep: str = "longest", preview: int = 300, most: int = 1000, data: str | None = None, **options) -> DataFrame:
+def duplicate_log(rows: DataFrame, idx: str, text: str, keep: str = "longest", preview: int = 300, most: int = 1000, data: str | None = None, marked: DataFrame | None = None, **options) -> DataFrame:
     """What stays of each cluster of two or more and, in order, all that goes, with the whole rows as ``data``.
 
     A log row lists at most ``most`` removed records; a larger cluster has further log rows, numbered by
     ``part``. ``removed`` counts them all. ``data`` names a column that holds the row; else it is made JSON.
+    ``marked`` is what ``representatives`` gave, if the clusters are known.
     """
-    marked = representatives(cluster(rows, idx, text, **options)).where("cluster_size > 1")
+    marked = (representatives(cluster(rows, idx, text, **options)) if marked is None else marked).where("cluster_size > 1")
     whole = F.col(f"`{data}`") if data else F.to_json(F.struct(*(F.col(f"`{c}`") for c in rows.columns)))
     full = marked.join(rows.select(F.col(idx).alias("idx"), F.length(text).cast("long").alias("length"), F.left(F.col(text), F.lit(preview)).alias("text_preview"), whole.alias("data")), "idx")
     stays = full.where(f"keep_{keep}").select("cluster", "cluster_size", F.struct("idx", "length", "text_preview", "data").alias("kept"))

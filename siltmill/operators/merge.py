@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltmill.functions.jsonx import signature
 from siltmill.functions.text import or_default
+from siltmill.scratch import materialize
 
 # The scalar metadata of a merged row with its defaults, in order.
 METADATA = {
@@ -32,24 +33,47 @@ def first_wins(rows: DataFrame, key: str, *order: str) -> DataFrame:
     return rows.join(first, key).where(at == F.col("__first")).drop("__first")
 
 
-def merge_tasks(sources: list[DataFrame], raw: str = "raw", order: str = "row_idx", dedup_by: str = "auto", max_rows: int | None = None) -> DataFrame:
-    """N inputs of JSON lines with ``(order, raw)`` -> ``(src, order, raw, signature, written)``.
+def merge_tasks(sources: list[DataFrame], raw: str = "raw", order: str = "row_idx", dedup_by: str = "auto", max_rows: int | None = None, existing: DataFrame | None = None) -> DataFrame:
+    """N inputs of JSON lines with ``(order, raw)`` -> ``(src, order, raw, valid, signature, written)`` of the rows read.
 
-    dedup_by auto compares bodies, id compares ids, none keeps all. ``max_rows`` caps what each input
-    adds. Lines that aren't objects are never written.
+    dedup_by auto compares bodies, id compares ids, none keeps all; signatures that ``existing(raw)`` has
+    count as written before. Lines that aren't JSON, and null, are never written. With ``max_rows``, ``order``
+    must number an input's rows from 0, and an input is read up to the first row written that is its
+    ``max_rows``-th or later; what isn't read takes no signature.
     """
     if dedup_by not in ("auto", "id", "none"):
         raise ValueError(f"unknown dedup_by {dedup_by}")
-    rows = tagged([s.select(order, raw) for s in sources])
-    rows = rows.withColumn("valid", F.coalesce(F.schema_of_variant(F.try_parse_json(raw)).startswith("OBJECT"), F.lit(False)))
-    sig = signature(F.col(raw), dedup_by) if dedup_by != "none" else F.concat_ws(":", "src", order)
-    rows = rows.withColumn("signature", F.when(F.col("valid"), sig))
+    rows = _signed(tagged([s.select(order, raw) for s in sources]), raw, dedup_by, F.concat_ws(":", "src", order))
+    seen = None
+    if existing is not None and dedup_by != "none":
+        seen = _signed(existing.select(raw), raw, dedup_by).where("valid").select("signature").distinct()
+    if max_rows is None:
+        return _marked(rows, order, seen)
+    rows, parts = materialize(rows, "signed"), []
+    for src in range(len(sources)):
+        part = materialize(_marked(rows.where(F.col("src") == src), order, seen), "source")
+        last = part.where(F.col("written") & (F.col(order) >= max_rows - 1)).agg(F.min(order)).first()[0]
+        part = part.where(F.col(order) <= last) if last is not None else part
+        parts.append(part)
+        if dedup_by != "none":
+            own = part.where("written").select("signature")
+            seen = materialize(own if seen is None else seen.unionByName(own), "seen")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _signed(rows: DataFrame, raw: str, dedup_by: str, alone: Column | None = None) -> DataFrame:
+    kind = F.schema_of_variant(F.try_parse_json(raw))
+    rows = rows.withColumn("valid", F.coalesce(kind != "VOID", F.lit(False)))
+    sig = signature(F.col(raw), dedup_by) if dedup_by != "none" else alone
+    return rows.withColumn("signature", F.when(F.col("valid"), sig))
+
+
+def _marked(rows: DataFrame, order: str, seen: DataFrame | None) -> DataFrame:
     good = rows.where("valid")
     first = good.groupBy("signature").agg(F.min(F.struct("src", order)).alias("first"))
-    kept = good.join(first, "signature").withColumn("written", F.struct("src", order) == F.col("first")).drop("first")
-    if max_rows is not None:
-        nth = F.row_number().over(Window.partitionBy("src", "written").orderBy(order))
-        kept = kept.withColumn("written", F.col("written") & (nth <= max_rows))
+    if seen is not None:
+        first = first.join(seen, "signature", "left_anti")
+    kept = good.join(first, "signature", "left").withColumn("written", F.coalesce(F.struct("src", order) == F.col("first"), F.lit(False))).drop("first")
     return kept.unionByName(rows.where("not valid").withColumn("written", F.lit(False)), allowMissingColumns=True)
 
 
@@ -68,12 +92,16 @@ def resume(rows: DataFrame, done: DataFrame, key: str = "id", limit: int | None
     return left.orderBy(order).limit(limit) if limit is not None else left
 
 
-def merge_final(planner: DataFrame, executor: DataFrame, existing: DataFrame | None = None, order: str = "row_idx") -> DataFrame:
-    """Planner rows, then executor rows, by first id; ids that ``existing`` holds are skipped; empty prompts too."""
-    rows = tagged([planner, executor]).where(F.coalesce(F.col("prompt"), F.lit("")) != "")
-    if existing is not None:
-        rows = resume(rows, existing)
-    return first_wins(rows, "id", "src", order)
+def add_new(rows: DataFrame, done: DataFrame | None, order: str, limit: int | None = None, usable: Column | None = None) -> tuple[DataFrame, dict]:
+    """What a sequential reader of ``rows(order, id, ...)`` adds, and its counts: rows whose id isn't ``done`` and that
+    are ``usable``, the first of each id, up to ``limit``; reading stops once that many are added."""
+    good = rows.where(usable) if usable is not None else rows
+    fresh = first_wins(resume(good, done) if done is not None else good, "id", order)
+    fresh = materialize(fresh.orderBy(order).limit(limit) if limit is not None else fresh, "added")
+    count, last = fresh.agg(F.count("*"), F.max(order)).first()
+    if limit is not None and count >= limit:
+        rows = rows.where(F.col(order) <= last) if limit else rows.limit(0)
+    return fresh, {"added": count, "skipped": rows.count() - count}
 
 
 def as_text(raw: Column, name: str) -> Column:
@@ -94,12 +122,15 @@ def as_truth(raw: Column, name: str) -> Column:
     return F.coalesce(F.when(kind == "STRING", value != "").otherwise(~value.isin("false", "0", "0.0", "[]", "{}")), F.lit(False))
 
 
-def fixed_metadata(raw: Column, merge_source: str | None = None, fields: dict | None = None) -> Column:
-    """Open metadata JSON as a struct of ``fields`` scalars, each cast by its default's type."""
+def fixed_metadata(raw: Column, merge_source: str | None = None, fields: dict | None = None, extra: dict[str, Column] | None = None) -> Column:
+    """Open metadata JSON as a struct of ``fields`` scalars, each cast by its default's type; ``extra`` columns go before
+    what the metadata has under their names."""
     out = []
     for name, default in (fields or METADATA).items():
         if name == "merge_source" and merge_source is not None:
             value = F.lit(merge_source)
+        elif extra and name in extra:
+            value = extra[name] if isinstance(default, bool) else F.coalesce(extra[name].cast("string"), F.lit(""))
         elif isinstance(default, bool):
             value = as_truth(raw, name)
         elif isinstance(default, int):

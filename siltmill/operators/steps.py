@@ -13,7 +13,8 @@ def explode_steps(rows: DataFrame, system: str, steps: str = "steps", reasoning:
 
     messages are the system and user messages, what all earlier steps left, and the step's own
     message, which isn't repeated if the history already ends with it. The history is a slice of the
-    row's own array, so nothing is shuffled.
+    row's own array, so nothing is shuffled. ``tools`` names a column of tool names, or of what
+    ``nested.exposed_tools`` gives.
     """
     read = rows.withColumn("__s", nested.until_forbidden(F.col(steps)))
     read = read.select("*", F.posexplode("__s").alias("__i", "__step"))
@@ -27,7 +28,9 @@ def explode_steps(rows: DataFrame, system: str, steps: str = "steps", reasoning:
     own, last = nested.own_message(F.col("__step"), reasoning), F.element_at(F.col("__h"), -1)
     calls = F.col("__step.planner_output.action") == "tool_call"
     same = F.when(calls, last.eqNullSafe(F.col("__own"))).otherwise(last["content"].eqNullSafe(F.col("__own.content")))
-    exposed = F.filter(F.col(tools), lambda t: ~t.isin(*nested.FORBIDDEN)) if tools else F.array().cast("array<string>")
+    exposed = F.col(tools) if tools else F.array().cast("array<string>")
+    if tools and rows.schema[tools].dataType.simpleString() == "array<string>":
+        exposed = F.filter(exposed, lambda t: ~t.isin(*nested.FORBIDDEN))
     made = read.withColumns({"__h": history, "__own": own})
     return made.select(
         F.concat(F.col("id").cast("string"), F.lit("_step_"), F.col("__step.step").cast("string")).alias("id"),

@@ -7,13 +7,14 @@ seeds. Each query reads its tables whole.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.functions import jsonx, lookups, nested, numbers, text
-from siltmill.operators import dedup, merge, review, sampling, sessions, stats, steps
+from siltmill.operators import dedup, merge, review, roles, sampling, sessions, stats, steps, teacher
 from siltmill.sources import jsonl
 from siltmill.sources.tables import table
 
@@ -227,6 +228,28 @@ def merge_report(spark, sf_dir):
     return merge.merge_report(merge.merge_tasks(_inputs(spark, sf_dir))).withColumn("src", F.col("src").cast("long"))
 
 
+@query("""
+WITH h AS (SELECT DISTINCT text FROM conversations WHERE conv_id % 7 = 0),
+d AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS i, text FROM documents), b AS (SELECT row_number() OVER (ORDER BY item_id) - 1 AS i, text FROM benchmark),
+c AS (SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS i, text FROM conversations),
+f0 AS (SELECT min(i) AS i, text FROM d WHERE text NOT IN (SELECT text FROM h) GROUP BY text), l0 AS (SELECT min(i) AS last FROM f0 WHERE i >= 29), w0 AS (SELECT * FROM f0 WHERE i <= coalesce((SELECT last FROM l0), i)),
+f1 AS (SELECT min(i) AS i, text FROM b WHERE text NOT IN (SELECT text FROM h UNION SELECT text FROM w0) GROUP BY text), l1 AS (SELECT min(i) AS last FROM f1 WHERE i >= 29), w1 AS (SELECT * FROM f1 WHERE i <= coalesce((SELECT last FROM l1), i)),
+f2 AS (SELECT min(i) AS i, text FROM c WHERE text NOT IN (SELECT text FROM h UNION SELECT text FROM w0 UNION SELECT text FROM w1) GROUP BY text), l2 AS (SELECT min(i) AS last FROM f2 WHERE i >= 29)
+SELECT 0::BIGINT AS src, i AS row_idx, i IN (SELECT i FROM w0) AS written FROM d WHERE i <= coalesce((SELECT last FROM l0), i)
+UNION ALL SELECT 1, i, i IN (SELECT i FROM w1) FROM b WHERE i <= coalesce((SELECT last FROM l1), i)
+UNION ALL SELECT 2, i, i IN (SELECT i FROM f2) FROM c WHERE i <= coalesce((SELECT last FROM l2), i)""")
+def merge_tasks_capped(spark, sf_dir):
+    """What is read and written of each input up to its 30th row, into an output that holds some already: the cap is the feature."""
+    def lines(name, *order):
+        at = F.struct(F.lit(name).alias("file_path"), F.floor(F.col(order[0]) / 1000).alias("file_block_start"), F.struct(*order).alias("n"))
+        rows = jsonl.numbered(table(spark, sf_dir, name).select(at.alias("row_idx"), F.to_json(F.struct("text")).alias("raw")))
+        return rows.select(F.col("line_no").cast("long").alias("row_idx"), "raw")
+
+    held = table(spark, sf_dir, "conversations").where("conv_id % 7 = 0").select(F.to_json(F.struct("text")).alias("raw"))
+    sources = [lines("documents", "doc_id"), lines("benchmark", "item_id"), lines("conversations", "conv_id", "turn")]
+    return merge.merge_tasks(sources, max_rows=30, existing=held).select(F.col("src").cast("long").alias("src"), "row_idx", "written")
+
+
 @query("SELECT doc_id AS id, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def resume_anti_join(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "n_chars")
@@ -492,6 +515,151 @@ def trajectory_stats(spark, sf_dir):
     return stats.trajectory_stats(rows).select(*names, F.col("trajectory_length.p90").alias("length_p90"))
 
 
+_PAYLOAD = """'{"intent": ' || CASE flag WHEN 'A' THEN '"运动功法"' WHEN 'R' THEN '"其他"' ELSE 'null' END || ', "action": "' || action || '"' ||
+    CASE action WHEN 'ask_clarification' THEN ', "ask": "' || supp || '"' WHEN 'planning_finish' THEN ', "finish_reason": "done"' ELSE '' END || '}'"""
+
+
+@query(
+    _STEPS
+    + f""", f AS (SELECT id, min(k) FILTER (action = 'tool_call' AND q >= 49) AS bad FROM s GROUP BY id),
+c AS (SELECT *, {_PAYLOAD} AS payload FROM s),
+h AS (
+  SELECT *, string_agg(payload || CASE WHEN action = 'tool_call' THEN ' | ' || part ELSE '' END, ' | ') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before,
+    lag(action) OVER w AS pa, lag(payload) OVER w AS pp FROM c WINDOW w AS (PARTITION BY id ORDER BY k)
+)
+SELECT h.id::VARCHAR || '_step_' || h.step AS id,
+  concat_ws(' | ', 'be brief', h.id, before, CASE WHEN action <> 'tool_call' AND coalesce(pa <> 'tool_call' AND pp = payload, false) THEN NULL ELSE payload END) AS contents,
+  CASE WHEN h.id % 3 = 0 THEN 'catalogued' WHEN h.id % 3 = 1 THEN 'search' ELSE '' END AS tools
+FROM h JOIN f USING (id) WHERE f.bad IS NULL OR h.k < f.bad"""
+)
+def step_contents(spark, sf_dir):
+    """What the messages of each sample say, and which tools it exposes: all, those named, or the catalogue's."""
+    tool = lambda n: f'{{"type": "function", "function": {{"name": "{n}"}}}}'
+    kind = F.col("id") % 3
+    raw = F.when(kind == 0, "{}").when(kind == 1, f'{{"tools": [{tool("search")}, {tool("write_file")}]}}').otherwise('{"tools": []}')
+    rows = _trajectories(spark, sf_dir).withColumns({"domain": F.lit("d"), "user_query": F.col("id").cast("string"), "tools": nested.exposed_tools(raw, f"[{tool('catalogued')}]")})
+    made = steps.explode_steps(rows, "be brief", tools="tools")
+    names = F.transform("tools", lambda t: F.try_variant_get(t, "$.function.name", "string"))
+    return made.select("id", F.array_join(F.transform("messages", lambda m: m["content"]), " | ").alias("contents"), F.array_join(names, ",").alias("tools"))
+
+
+@query(
+    _STEPS
+    + """, z AS (SELECT id, max(k) AS last, arg_max(flag, k) AS lf FROM s GROUP BY id),
+c AS (SELECT s.*, z.lf = 'A' AND s.k < z.last AND s.action = 'tool_call' AND s.flag <> 'A' AS fixed FROM s JOIN z USING (id))
+SELECT id, count(*) FILTER (fixed) AS backfilled,
+  string_agg(CASE WHEN fixed THEN '运动指导' WHEN flag = 'A' THEN '运动功法' WHEN flag = 'R' THEN '其他' ELSE 'null' END, ',' ORDER BY k) AS intents,
+  string_agg(CASE WHEN fixed THEN '{"intent": "运动指导", "action": "tool_call"}' ELSE '' END, ',' ORDER BY k) AS contents
+FROM c GROUP BY id"""
+)
+def repaired_rows(spark, sf_dir):
+    """The rows that back-filling leaves, read back from their JSON."""
+    known = lookups.resolve(lookups.HEALTH)
+    rows = _trajectories(spark, sf_dir).withColumn("raw", F.to_json(F.struct("id", F.col("steps").alias("trajectory"))))
+    changed = nested.backfilled(F.col("steps"), nested.backfill(F.col("steps"), known))
+    final = known(F.try_element_at("steps", F.lit(-1))["planner_output"]["intent"])
+    fixed = rows.select("id", roles.repaired(F.col("raw"), changed, final, lookups.HEALTH).alias("raw"))
+    after = nested.read_steps(F.get_json_object("raw", "$.trajectory"))
+    say = lambda f: F.array_join(F.transform(after, f), ",")
+    return fixed.select(
+        "id", F.coalesce(F.get_json_object("raw", "$.empty_tool_call_intent_backfill_count").cast("long"), F.lit(0)).alias("backfilled"),
+        say(lambda x: F.coalesce(x["planner_output"]["intent"], F.lit("null"))).alias("intents"), say(lambda x: x["planner_raw_output"]["content"]).alias("contents"),
+    )
+
+
+# Rows of the executor and the reviewer, with teachers that answer by rule
+
+
+def _as_lines(rows, raw):
+    return rows.select(F.monotonically_increasing_id().alias("line_no"), raw.alias("raw"))
+
+
+@query(
+    _STEPS
+    + """, w AS (SELECT id, arg_max(CASE flag WHEN 'A' THEN '运动指导' WHEN 'R' THEN '其他' END, k) FILTER (flag IN ('A', 'R')) AS intent FROM s GROUP BY id),
+a AS (SELECT id, arg_max(supp::VARCHAR, k) AS ask FROM s WHERE action = 'ask_clarification' GROUP BY id),
+o AS (SELECT id, k, flag, part, row_number() OVER (PARTITION BY id ORDER BY k) AS i FROM s WHERE action = 'tool_call' AND flag <> 'R'),
+x AS (SELECT id, string_agg('【' || i || '. tool_' || flag || '】' || chr(10) || part, chr(10) || chr(10) ORDER BY i) AS info FROM o GROUP BY id),
+r AS (SELECT w.id, coalesce(w.intent, '其他') AS intent, a.ask, coalesce(x.info, '无外部补充信息。') AS info FROM w LEFT JOIN a USING (id) LEFT JOIN x USING (id)),
+m AS (
+  SELECT *, concat_ws(chr(10) || chr(10), '【用户问题】' || chr(10) || 'order ' || id, '【识别意图】' || chr(10) || intent, '【规划阶段追问建议】' || chr(10) || ask, '【外部参考信息】' || chr(10) || info,
+    '【近期历史对话】' || chr(10) || '用户：hello' || chr(10) || '助手：again') AS content FROM r
+)
+SELECT id || '_executor' AS id, id::VARCHAR AS source_id, intent, ask AS clarification_ask, info AS external_info, content AS asked,
+  '<think>' || chr(10) || 'plan' || chr(10) || '</think>' || chr(10) || length(content) || ' characters' AS answer, ask IS NOT NULL AS has_clarification_ask
+FROM m"""
+)
+def executor_rows(spark, sf_dir):
+    history = F.array(F.struct(F.lit(" hello ").alias("user"), F.lit("again").alias("response")))
+    rows = _trajectories(spark, sf_dir)
+    rows = _as_lines(rows, F.to_json(F.struct("id", F.concat(F.lit("order "), "id").alias("user_query"), F.col("steps").alias("trajectory"), history.alias("dialogue_history"))))
+    asked = roles.executor_requests(rows, lookups.HEALTH, "be brief", errors=False)
+    said = teacher.ask(asked, "request", _counts_characters)
+    made = roles.executor_rows(said, lookups.HEALTH, errors=False)
+    at = lambda k: F.element_at("messages", k)["content"]
+    return made.select("id", "source_id", "intent", "clarification_ask", "external_info", at(-2).alias("asked"), at(-1).alias("answer"), "metadata.has_clarification_ask")
+
+
+def _counts_characters(request: dict) -> dict:
+    return {"reasoning_content": "plan", "content": f"{len(request['messages'][-1]['content'])} characters"}
+
+
+@query("""
+WITH d AS (SELECT doc_id, left(trim(text, ' ' || chr(10) || chr(9) || chr(13)), 200) AS answer FROM documents WHERE trim(text, ' ' || chr(10) || chr(9) || chr(13)) <> ''),
+s AS (SELECT *, 1 + length(rtrim(answer, ' ' || chr(10) || chr(9) || chr(13))) % 5 AS score FROM d)
+SELECT 'd' || doc_id || '_reviewer' AS id, 'd' || doc_id AS source_sample_id, CASE WHEN score >= 4 THEN 'pass' ELSE 'reject' END AS decision, score::BIGINT AS score,
+  CASE WHEN score < 2 THEN 'short: too short' ELSE '' END AS issues, length(answer)::BIGINT AS reviewed_answer_chars FROM s""")
+def review_rows(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").where(text.strip(F.col("text")) != "")
+    answer = F.array(F.struct(F.lit("assistant").alias("role"), F.col("text").alias("content")))
+    rows = _as_lines(docs, F.to_json(F.struct(F.concat(F.lit("d"), "doc_id").alias("id"), F.lit("q").alias("user_query"), answer.alias("messages"))))
+    done = roles.reviewed(roles.review_requests(rows, lookups.HEALTH, "be strict", 200), _scores_by_length, 1)
+    issues = F.array_join(F.transform("issues", lambda i: F.concat(i["type"], F.lit(": "), i["message"])), ",")
+    return roles.review_rows(done, 4).select("id", "source_sample_id", "decision", "score", issues.alias("issues"), "metadata.reviewed_answer_chars")
+
+
+def _scores_by_length(request: dict) -> dict:
+    answer = request["messages"][-1]["content"].split("【执行阶段回答】\n", 1)[1]
+    score = 1 + len(answer) % 5
+    issues = [{"type": " short", "message": "too short "}] if score < 2 else []
+    return {"content": json.dumps({"decision": "pass" if score > 2 else "reject", "score": score, "issues": issues, "suggestions": []})}
+
+
+@query("""
+WITH p AS (SELECT conv_id, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn) AS body, arg_min(role, turn) AS lead, arg_min(text, turn) AS said FROM conversations GROUP BY conv_id),
+a AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS n FROM p WHERE conv_id % 2 = 0 QUALIFY n <= 20),
+e AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS n FROM p WHERE conv_id NOT IN (SELECT conv_id FROM a) QUALIFY n <= 30),
+s AS (SELECT *, '<|im_start|>system' || chr(10) || 'house rules<|im_end|>' || chr(10) AS rules FROM p)
+SELECT 'c' || conv_id AS id, 'planner_final' AS merge_source, body AS prompt, '' AS domain, '' AS intent, false AS has_clarification_ask, '' AS prompt_source FROM s WHERE conv_id IN (SELECT conv_id FROM a)
+UNION ALL
+SELECT 'c' || conv_id, 'executor_answer',
+  CASE WHEN conv_id % 3 = 0 THEN body WHEN lead = 'system' THEN rules || substr(body, length('<|im_start|>system' || chr(10) || said || '<|im_end|>' || chr(10)) + 1) ELSE rules || body END,
+  CASE WHEN conv_id % 3 = 0 THEN 'health' ELSE 'shop' END, 'buy', conv_id % 5 = 0, CASE WHEN conv_id % 3 = 0 THEN 'executor_messages' ELSE 'domain' END
+FROM s WHERE conv_id IN (SELECT conv_id FROM e)""")
+def merged_prompts(spark, sf_dir):
+    """20 of the even sessions as planner prompts, then 30 of those left, with their domain's system prompt: the limits are the feature."""
+    chat = _messages(spark, sf_dir)
+    plan = chat.where("conv_id % 2 = 0").select(F.col("conv_id").alias("line_no"), F.concat(F.lit("c"), "conv_id").alias("id"), text.chatml(F.col("messages")).alias("prompt"))
+    first, _ = merge.add_new(plan, None, "line_no", 20, F.col("prompt") != "")
+    domain = F.when(F.col("conv_id") % 3 != 0, "shop").otherwise("elsewhere")
+    ask = F.when(F.col("conv_id") % 5 == 0, "which?")
+    said = F.transform("messages", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+    rows = chat.select(F.col("conv_id").alias("line_no"), F.to_json(F.struct(F.concat(F.lit("c"), "conv_id").alias("id"), domain.alias("domain"), ask.alias("clarification_ask"), F.lit("buy").alias("intent"), said.alias("messages"))).alias("raw"))
+    raw = F.col("raw")
+    rows = rows.withColumn("id", roles.row_id(raw, F.col("line_no"), "executor_line"))
+    second, _ = merge.add_new(rows, first.select("id"), "line_no", 30, roles.truthy(raw, "messages").isNotNull())
+    system = F.when(F.get_json_object(raw, "$.domain") == "shop", "house rules")
+    extra = {
+        "domain": F.when(system.isNotNull(), "shop").otherwise("health"), "intent": F.get_json_object(raw, "$.intent"), "has_clarification_ask": F.get_json_object(raw, "$.clarification_ask").isNotNull(),
+        "executor_assembly_system_prompt_source": F.when(system.isNotNull(), "domain").otherwise("executor_messages"),
+    }
+    parts = [
+        first.select("id", "prompt", merge.fixed_metadata(F.lit("{}"), "planner_final").alias("m")),
+        second.select("id", roles.rendered(raw, system).alias("prompt"), merge.fixed_metadata(F.lit("{}"), "executor_answer", extra=extra).alias("m")),
+    ]
+    return parts[0].unionByName(parts[1]).select("id", "m.merge_source", "prompt", "m.domain", "m.intent", "m.has_clarification_ask", F.col("m.executor_assembly_system_prompt_source").alias("prompt_source"))
+
+
 # Quotas. Which rows are drawn is this engine's own choice; how many is fixed.
 
 

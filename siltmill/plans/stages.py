@@ -1,18 +1,20 @@
-"""The stages that need no model, from JSON-lines paths to JSON-lines paths.
+"""The stages, from JSON-lines paths to JSON-lines paths.
 
-Each takes the parameters of its stage under their usual names and returns its counts.
+Each takes the parameters of its stage under their usual names and returns its counts. Those that ask a
+model take it as a callable; the command line has the others.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.functions import extract, jsonx, nested
 from siltmill.functions.lookups import HEALTH, Domain, resolve
-from siltmill.operators import ablation, dedup, merge, reports, review, sampling, steps
+from siltmill.operators import ablation, dedup, merge, reports, review, roles, sampling, steps, teacher
 from siltmill.scratch import materialize
 from siltmill.sources import jsonl, sinks
 
@@ -22,14 +24,37 @@ def _rows(spark: SparkSession, path: str) -> DataFrame:
     return jsonl.classify(jsonl.numbered(jsonl.lines(spark, path))).select("line_no", "raw", "status")
 
 
-def _write_raw(rows: DataFrame, path: str, order: str = "line_no") -> None:
-    rows.orderBy(order).select("raw").write.mode("overwrite").text(path)
+def _strict(spark: SparkSession, path: str) -> DataFrame:
+    """``(line_no, raw)`` of all rows; a line that is no object fails the stage."""
+    rows = _rows(spark, path).where("status <> 'blank'")
+    bad = rows.where("status <> 'object'").count()
+    if bad:
+        raise ValueError(f"{path}: {bad} lines are no JSON objects")
+    return rows.select("line_no", "raw")
+
+
+def _write_raw(rows: DataFrame, path: str, order: str = "line_no", mode: str = "overwrite") -> None:
+    rows.orderBy(order).select("raw").write.mode(mode).text(path)
+
+
+def _replace_raw(rows: DataFrame, path: str, backup: bool) -> None:
+    sinks.replace(rows.orderBy("line_no").select("raw"), path, backup, raw=True)
+
+
+def _done(spark: SparkSession, output: str, force_rebuild: bool) -> DataFrame | None:
+    return None if force_rebuild else jsonl.processed_ids(spark, output)
+
+
+def _write_rows(rows: DataFrame, output: str, force_rebuild: bool, order: str = "line_no") -> None:
+    sinks.write(rows.orderBy(order).drop(order), output, "overwrite" if force_rebuild else "append")
 
 
 def dedup_final_prompt(
     spark: SparkSession, input: str, output: str, duplicates: str | None = None, text_field: str | None = None, dedup_key: str = "auto", threshold: float = 0.9,
     ngram: int = 3, method: str = "auto", num_perm: int = 128, min_chars: int = 3, keep: str = "longest", dry_run: bool = False, max_rows: int | None = None,
+    in_place: bool = False, no_backup: bool = False,
 ) -> dict:
+    """``in_place`` replaces the input, which is backed up first unless ``no_backup``."""
     rows = _rows(spark, input)
     good = rows.where("status = 'object'")
     good = good.orderBy("line_no").limit(max_rows) if max_rows is not None else good
@@ -38,9 +63,13 @@ def dedup_final_prompt(
     stats = dedup.dedup_stats(marked).first().asDict()
     stats["invalid_rows"] = rows.where("status in ('invalid', 'other')").count()
     if not dry_run:
-        _write_raw(good.join(marked.where(f"keep_{keep}").select(F.col("idx").alias("line_no")), "line_no", "left_semi"), output)
+        kept = good.join(marked.where(f"keep_{keep}").select(F.col("idx").alias("line_no")), "line_no", "left_semi")
+        if in_place:
+            _replace_raw(kept, input, not no_backup)
+        else:
+            _write_raw(kept, output)
         if duplicates:
-            log = dedup.duplicate_log(good, "line_no", "text", keep, data="raw", threshold=threshold, ngram=ngram, method=method, num_perm=num_perm, min_chars=min_chars)
+            log = dedup.duplicate_log(good, "line_no", "text", keep, data="raw", marked=marked)
             sinks.write(log.withColumns({"threshold": F.lit(threshold), "ngram": F.lit(ngram), "method": F.lit(method), "dedup_key": F.lit(dedup_key)}), duplicates)
     return stats
 
@@ -62,12 +91,24 @@ def reviewed_final_prompt(spark: SparkSession, merged_input: str, reviews_input:
     return review.split_stats(out, reviews).first().asDict()
 
 
-def merge_tasks(spark: SparkSession, input: list[str], output: str, dedup_by: str = "auto", max_rows: int | None = None, report: str | None = None) -> dict:
-    sources = [_rows(spark, p).where("status <> 'blank'").select(F.col("line_no").alias("row_idx"), "raw") for p in input]
-    merged = materialize(merge.merge_tasks(sources, dedup_by=dedup_by, max_rows=max_rows), "merged")
-    merged.where("written").orderBy("src", "row_idx").select("raw").write.mode("overwrite").text(output)
-    found = {"inputs": input, "output": output, "dedupBy": dedup_by, "sources": [r.asDict() for r in merge.merge_report(merged).orderBy("src").collect()]}
-    found |= {k: sum(s[k] for s in found["sources"]) for k in ("read", "written", "duplicated", "invalid")}
+def merge_tasks(spark: SparkSession, input: list[str], output: str, dedup_by: str = "auto", max_rows: int | None = None, report: str | None = None, force_rebuild: bool = False) -> dict:
+    """Adds to ``output`` what it doesn't hold yet; inputs that don't exist are reported as missing."""
+    there = [jsonl.exists(spark, p) for p in input]
+    empty = spark.createDataFrame([], "row_idx long, raw string")
+    numbered = lambda p: jsonl.numbered(jsonl.classify(jsonl.lines(spark, p)).where("status <> 'blank'")).select(F.col("line_no").cast("long").alias("row_idx"), "raw")
+    sources = [numbered(p) if t else empty for p, t in zip(input, there, strict=True)]
+    held = None
+    if not force_rebuild and jsonl.exists(spark, output):
+        held = jsonl.lines(spark, output).select("raw").where(F.length(F.trim("raw")) > 0)
+    before = held.count() if held is not None else 0
+    merged = materialize(merge.merge_tasks(sources, dedup_by=dedup_by, max_rows=max_rows, existing=held), "merged")
+    merged.where("written").orderBy("src", "row_idx").select("raw").write.mode("append" if held is not None else "overwrite").text(output)
+    counts = {r["src"]: r.asDict() for r in merge.merge_report(merged).collect()}  # one row an input
+    none = dict.fromkeys(("read", "written", "duplicated", "invalid"), 0)
+    parts = [{"path": p, **none, **{k: v for k, v in counts.get(i, {}).items() if k != "src"}, "missing": not t} for i, (p, t) in enumerate(zip(input, there, strict=True))]
+    found = {"inputs": input, "output": output, "dedupBy": dedup_by, "forceRebuild": force_rebuild, "sources": parts}
+    found |= {k: sum(s[k] for s in parts) for k in none}
+    found |= {"before": before, "after": before + found["written"]}
     if report:
         spark.createDataFrame([(json.dumps(found, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(report)
     return found
@@ -99,33 +140,119 @@ def data_stats(spark: SparkSession, paths: list[str], format: str = "markdown",
     return made
 
 
-def planner_step_sft(spark: SparkSession, input: str, output: str, system: str, no_reasoning: bool = False, force_rebuild: bool = False) -> int:
+def planner_step_sft(spark: SparkSession, input: str, output: str, system: str, no_reasoning: bool = False, force_rebuild: bool = False, catalog: str = "[]") -> int:
+    """``catalog`` is the JSON list of a domain's tools, which rows without a field ``tools`` expose."""
     rows = _rows(spark, input).where("status = 'object'")
     raw = F.col("raw")
     read = rows.select(
         "line_no", F.get_json_object(raw, "$.id").alias("id"), F.coalesce(F.get_json_object(raw, "$.domain"), F.lit("health")).alias("domain"), F.coalesce(F.get_json_object(raw, "$.user_query"), F.lit("")).alias("user_query"),
-        nested.read_steps(F.coalesce(F.get_json_object(raw, "$.trajectory"), F.lit("[]"))).alias("steps"),
+        nested.read_steps(F.coalesce(F.get_json_object(raw, "$.trajectory"), F.lit("[]"))).alias("steps"), nested.exposed_tools(raw, catalog).alias("tools"),
     )
-    out = steps.explode_steps(read, system, reasoning=not no_reasoning)
+    out = steps.explode_steps(read, system, reasoning=not no_reasoning, tools="tools")
     fresh = out if force_rebuild else merge.resume(out, jsonl.processed_ids(spark, output))
     sinks.write(fresh, output, "overwrite" if force_rebuild else "append")
     return jsonl.count_lines(spark, output)
 
 
-def fix_intents(spark: SparkSession, input: str, output: str, domain: Domain | None = HEALTH, dry_run: bool = False) -> dict:
-    """Back-fills intents in the steps of each row; blank and invalid lines pass through as they are."""
+def fix_intents(spark: SparkSession, input: str, output: str | None = None, domain: Domain | None = HEALTH, dry_run: bool = False, in_place: bool = False, no_backup: bool = False) -> dict:
+    """Rows with back-filled intents in the steps of their trajectories, and all that follows from them; blank and
+    invalid lines and unchanged rows pass through as they are. ``in_place`` replaces the input."""
     rows = _rows(spark, input)
     parsed = rows.withColumn("steps", nested.read_steps(F.coalesce(F.get_json_object(F.when(F.col("status") == "object", F.col("raw")), "$.trajectory"), F.lit("[]"))))
-    fixed = materialize(steps.repair_intents(parsed, resolve(domain) if domain else None), "fixed")
-    count = fixed.agg(F.count("*").alias("total"), F.count_if(F.col("status") == "object").alias("json_rows"), F.count_if(F.col("status").isin("invalid", "other")).alias("invalid"), F.count_if(F.col("changed_steps") > 0).alias("changed_rows"), F.sum("changed_steps").alias("changed_steps"))
+    found = parsed.withColumns({"changed": F.array().cast("array<int>"), "intent": F.lit(None).cast("string")})
+    if domain:
+        known = resolve(domain)
+        differs = nested.backfilled(F.col("steps"), nested.backfill(F.col("steps"), known))
+        found = parsed.withColumns({"changed": differs, "intent": known(F.try_element_at("steps", F.lit(-1))["planner_output"]["intent"])})
+    found = materialize(found.drop("steps"), "fixed")
+    count = found.agg(F.count("*").alias("total"), F.count_if(F.col("status") == "object").alias("json_rows"), F.count_if(F.col("status").isin("invalid", "other")).alias("invalid"), F.count_if(F.size("changed") > 0).alias("changed_rows"), F.sum(F.size("changed")).alias("changed_steps"))
     if not dry_run:
-        intent = F.element_at("steps", -1)["planner_output"]["intent"]
-        body = F.regexp_replace("raw", r"\}\s*$", "")
-        note = F.concat(body, F.lit(', "intent_reference": '), F.to_json(F.struct(intent.alias("intent"))), F.lit(', "steps_repaired": '), F.to_json("steps"), F.lit("}"))
-        _write_raw(fixed.withColumn("raw", F.when(F.col("changed_steps") > 0, note).otherwise(F.col("raw"))), output)
+        fixed = found.withColumn("raw", roles.repaired(F.col("raw"), F.col("changed"), F.col("intent"), domain)) if domain else found
+        if in_place:
+            _replace_raw(fixed, input, not no_backup)
+        else:
+            _write_raw(fixed, output or f"{input}.intent_fixed")
     return count.first().asDict()
 
 
+def planner_final_prompt(spark: SparkSession, input: str, output: str, force_rebuild: bool = False, model_template: Callable[[list, list], str] | None = None) -> dict:
+    """Chat samples as prompts, with their metadata as it is. ``model_template`` takes messages and tools."""
+    raw = F.col("raw")
+    rows = _strict(spark, input).select("line_no", "raw", roles.row_id(raw, F.col("line_no"), "line").alias("id"))
+    fresh, counts = merge.add_new(rows, _done(spark, output, force_rebuild), "line_no")
+    metadata = F.try_parse_json(F.coalesce(F.get_json_object("raw", "$.metadata"), F.when(jsonx.has_key(raw, "metadata"), "null").otherwise("{}")))
+    _write_rows(fresh.select("line_no", "id", roles.rendered(raw, None, model_template).alias("prompt"), metadata.alias("metadata")), output, force_rebuild)
+    return counts
+
+
+def merged_final_prompt(
+    spark: SparkSession, planner_final: str, executor_input: str, output: str, assembly: dict | None = None, force_rebuild: bool = False, max_planner_samples: int | None = None,
+    max_executor_samples: int | None = None, model_template: Callable[[list, list], str] | None = None,
+) -> dict:
+    """Planner prompts, then executor answers as prompts, under one metadata schema, by first id.
+
+    ``assembly`` maps the known domains to the system prompt that replaces a sample's own, or None; rows of
+    unknown domains are ``health``. A missing input is skipped.
+    """
+    assembly = {"health": None} | (assembly or {})
+    done, raw, counts, made = _done(spark, output, force_rebuild), F.col("raw"), {}, []
+    none = spark.createDataFrame([], "line_no long, raw string")
+    read = lambda p: _strict(spark, p) if jsonl.exists(spark, p) else none
+    rows = read(planner_final).select("line_no", "raw", roles.row_id(raw, F.col("line_no"), "planner_final_line").alias("id"))
+    fresh, found = merge.add_new(rows, done, "line_no", max_planner_samples, roles.truthy(raw, "prompt").isNotNull())
+    counts |= {f"planner_{k}": v for k, v in found.items()}
+    open_ = F.get_json_object("raw", "$.metadata")
+    made.append(fresh.select(F.struct(F.lit(0).alias("src"), "line_no").alias("at"), "id", F.get_json_object("raw", "$.prompt").alias("prompt"), merge.fixed_metadata(open_, "planner_final").alias("metadata")))
+    ids = fresh.select("id")
+    rows = read(executor_input).select("line_no", "raw", roles.row_id(raw, F.col("line_no"), "executor_line").alias("id"))
+    fresh, found = merge.add_new(rows, ids if done is None else done.unionByName(ids), "line_no", max_executor_samples, roles.truthy(raw, "messages").isNotNull())
+    counts |= {f"executor_{k}": v for k, v in found.items()}
+    named = F.coalesce(roles.truthy(raw, "domain"), roles.truthy(raw, "metadata.domain"), F.lit("health"))
+    name = F.when(named.isin(*assembly), named).otherwise("health")
+    system = F.coalesce(*(F.when(name == k, F.lit(v.strip())) for k, v in assembly.items() if v is not None), F.lit(None).cast("string"))
+    extra = {
+        "domain": name, "source_id": F.get_json_object(raw, "$.source_id"), "intent": F.get_json_object(raw, "$.intent"), "has_clarification_ask": F.get_json_object(raw, "$.clarification_ask").isNotNull(),
+        "executor_assembly_system_prompt_source": F.when(system.isNotNull(), "domain").otherwise("executor_messages"),
+    }
+    made.append(fresh.select(F.struct(F.lit(1).alias("src"), "line_no").alias("at"), "id", roles.rendered(raw, system, model_template).alias("prompt"), merge.fixed_metadata(open_, "executor_answer", extra=extra).alias("metadata")))
+    _write_rows(made[0].unionByName(made[1]), output, force_rebuild, "at")
+    return counts | {"total_added": counts["planner_added"] + counts["executor_added"], "total_skipped": counts["planner_skipped"] + counts["executor_skipped"]}
+
+
+def executor_answer(
+    spark: SparkSession, input: str, output: str, ask: Callable[[dict], dict], system: str, domain: Domain = HEALTH, max_samples: int = 10000, max_retries: int = 5, max_external_chars: int = 6000,
+    no_reasoning: bool = False, no_tool_errors: bool = False, plan_tools: tuple[str, ...] = (), expected_intents: tuple[str, ...] = (), force_rebuild: bool = False,
+) -> int:
+    """Answers to the questions of trajectories. ``ask`` takes ``{"messages": ...}`` and gives ``{"reasoning_content", "content"}``;
+    rows it fails on are left for the next run. Returns the rows added."""
+    made = roles.executor_requests(_strict(spark, input), domain, system, max_external_chars, not no_tool_errors, plan_tools, expected_intents)
+    done = _done(spark, output, force_rebuild)
+    pending = merge.resume(made, done, limit=max_samples, order="line_no") if done is not None else made.orderBy("line_no").limit(max_samples)
+    rows = roles.executor_rows(teacher.ask(pending, "request", ask, max_retries), domain, not no_reasoning, max_external_chars, not no_tool_errors)
+    rows = materialize(rows, "answers")  # a teacher is asked once
+    _write_rows(rows, output, force_rebuild)
+    return rows.count()
+
+
+def review_results(
+    spark: SparkSession, input: str, output: str, ask: Callable[[dict], dict], system: str, domain: Domain = HEALTH, max_samples: int = 10000, max_retries: int = 5, max_answer_chars: int = 12000,
+    min_pass_score: int = 3, force_rebuild: bool = False,
+) -> int:
+    """Reviews of executor samples; ``ask`` gives ``{"content": ...}`` with the review as JSON text. Returns the rows added."""
+    made = materialize(roles.review_requests(_strict(spark, input), domain, system, max_answer_chars), "requests")
+    if made.where("id is null").limit(1).count():
+        raise ValueError("an executor sample has no id or source_id")
+    done = _done(spark, output, force_rebuild)
+    pending = merge.resume(made, done, limit=max_samples, order="line_no") if done is not None else made.orderBy("line_no").limit(max_samples)
+    if pending.where("answer_text = ''").limit(1).count():
+        raise ValueError("an executor sample has no answer")
+    if pending.isEmpty():
+        return 0
+    rows = materialize(roles.review_rows(roles.reviewed(pending, ask, max_retries), min_pass_score), "reviewed")
+    _write_rows(rows, output, force_rebuild)
+    return rows.count()
+
+
 def no_intent_executor(spark: SparkSession, input: str, output: str, system: str, no_reasoning: bool = True, require_external_info: bool = False, max_samples: int | None = None) -> int:
     """The mode that copies answers."""
     rows = _rows(spark, input).where("status = 'object'")
@@ -146,4 +273,4 @@ def downsample(spark: SparkSession, input: str, output: str, target_intent: str,
     return out.agg(F.count("*").alias("rows"), F.count_if("removed").alias("removed")).first().asDict()
 
 
-STAGES = {f.__name__: f for f in (dedup_final_prompt, reviewed_final_prompt, merge_tasks, data_stats, planner_step_sft, fix_intents, no_intent_executor, downsample)}
+STAGES = {f.__name__: f for f in (dedup_final_prompt, reviewed_final_prompt, merge_tasks, data_stats, planner_step_sft, fix_intents, planner_final_prompt, merged_final_prompt, no_intent_executor, downsample)}

@@ -30,11 +30,12 @@ def split(df: DataFrame, flag: str, true_path: str, false_path: str) -> None:
     write(df.where(~yes).drop(flag), false_path)
 
 
-def replace(df: DataFrame, path: str, backup: bool = True) -> str | None:
-    """Writes next to ``path``, then renames: safe for a ``df`` that reads ``path``. Returns the backup's path."""
+def replace(df: DataFrame, path: str, backup: bool = True, raw: bool = False) -> str | None:
+    """Writes next to ``path``, then renames: safe for a ``df`` that reads ``path``. Returns the backup's path.
+    ``raw`` takes ``df`` as lines and not as rows to be made JSON."""
     spark: SparkSession = df.sparkSession
     fresh = new_path(spark, "replace")
-    write(df, fresh)
+    (df if raw else as_lines(df)).write.text(fresh)
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     target, source = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(fresh)
     fs = target.getFileSystem(conf)

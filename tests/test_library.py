@@ -23,12 +23,14 @@ def lit(x):
 # Review protocol
 
 
-def test_review_split_golden(spark):
-    merged = spark.createDataFrame([("row-a", "executor_answer"), ("row-b", None), ("planner-a", "planner_final")], "id string, merge_source string")
-    reviews = spark.createDataFrame([("row-a", "reject", 0), ("row-a", "pass", 1), ("row-b", "reject", 2), (None, "pass", 3)], "source_sample_id string, decision string, row_idx int")
+def test_review_split_takes_the_last_review_of_a_sample(spark):
+    merged = [("s1", "executor_answer"), ("s2", "executor_answer"), ("s3", None), ("s4", "executor_answer"), ("s5", "planner_final"), ("s6", "planner_final")]
+    said = [("s1", "pass", 4), ("s1", "reject", 9), ("s2", "reject", 1), ("s2", "pass", 2), ("s3", "pass", 3), ("s6", "reject", 5), ("", "pass", 6), ("gone", "pass", 7)]
+    merged = spark.createDataFrame(merged, "id string, merge_source string")
+    reviews = spark.createDataFrame(said, "source_sample_id string, decision string, row_idx int")
     out = review.split(merged, reviews)
-    assert {r.id: r.outcome for r in out.collect()} == {"row-a": "approved", "row-b": "rejected", "planner-a": "approved"}
-    assert review.split_stats(out, reviews).first().asDict() == {"reviews": 2, "approved": 2, "rejected": 1, "unmatched": 0}
+    assert {r.id: r.outcome for r in out.collect()} == {"s1": "rejected", "s2": "approved", "s3": "approved", "s4": "unmatched", "s5": "approved", "s6": "rejected"}
+    assert review.split_stats(out, reviews).first().asDict() == {"reviews": 5, "approved": 3, "rejected": 2, "unmatched": 1}
 
 
 @pytest.mark.parametrize(
@@ -178,11 +180,13 @@ def test_merge_by_signature(spark):
     second = [(0, '{"messages": [1], "id": "9"}'), (1, '{"id": "5"}'), (2, '{"text": "", "query": "q"}'), (3, '{"query": "q"}')]
     frames = [spark.createDataFrame(x, "row_idx int, raw string") for x in (first, second)]
     kept = lambda **o: sorted((r.src, r.row_idx) for r in merge.merge_tasks(frames, **o).where("written").collect())
-    assert kept() == [(0, 0), (0, 1), (1, 1), (1, 2)]
-    assert kept(dedup_by="id") == [(0, 0), (1, 0), (1, 1), (1, 2), (1, 3)]
-    assert len(kept(dedup_by="none")) == 6 and kept(max_rows=1) == [(0, 0), (1, 1)]
+    assert kept() == [(0, 0), (0, 1), (0, 3), (1, 1), (1, 2)]
+    assert kept(dedup_by="id") == [(0, 0), (0, 3), (1, 0), (1, 1), (1, 2), (1, 3)]
+    assert len(kept(dedup_by="none")) == 7 and kept(max_rows=1) == [(0, 0), (1, 1)]
+    held = spark.createDataFrame([('{"messages": [2]}',), ("no",), ("[1]",)], "raw string")
+    assert kept(existing=held) == [(0, 0), (1, 1), (1, 2)] and len(kept(existing=held, dedup_by="none")) == 7
     report = {r.src: (r.read, r.written, r.duplicated, r.invalid) for r in merge.merge_report(merge.merge_tasks(frames)).collect()}
-    assert report == {0: (4, 2, 0, 2), 1: (4, 2, 2, 0)}
+    assert report == {0: (4, 3, 0, 1), 1: (4, 2, 2, 0)}
 
 
 def test_fixed_metadata(spark):
