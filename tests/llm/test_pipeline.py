@@ -83,3 +83,40 @@ def test_pipeline_stages(spark, tmp_path):
     again = corpus_pipeline.run(spark, base).collect()
     assert Counter((r.doc_id, r.piece, r.length, r.ids_crc32) for r in again) == Counter((r.doc_id, r.piece, r.length, r.ids_crc32) for r in packed)
     assert decontam.Seeds().masks
+
+
+def awkward():
+    prose = "\n".join(" ".join(f"w{(i * 7 + j * j) % 211}x{j}" for j in range(12)) for i in range(8))
+    other = prose.replace("w1", "v2").replace("x3", "z9")
+    long = " ".join(f"long{i}" for i in range(30000))
+    return [
+        ("b", prose, "en", "s1", 7, 1, "n", 5), ("a", prose, None, None, None, 2, None, None), ("a", prose, None, None, None, 2, None, None), ("a", other, "en", "s2", 1, 3, "x", 1),
+        (None, prose, "en", "s1", 1, 4, "x", 1), (None, other + " end of it", "en", "s1", 1, 4, "x", 1), ("c", None, "en", "s1", None, 1, "x", 1), ("d", "", "en", "s1", 0, 1, "x", 1), ("e", " \t\n", None, "s1", 3, 1, "x", 1),
+        ("f", long, "en", "s1", 1, 1, "x", 1), ("g", "one two", "en", "s1", 1, 1, "x", 1),
+    ]
+
+
+def test_stages_take_awkward_rows(spark, tmp_path):
+    base = f"file://{tmp_path}"
+    schema = "doc_id string, text string, lang string, source string, n_chars long, n_removed int, fp string, k1 int"
+    docs = spark.createDataFrame(awkward(), schema)
+    spark.createDataFrame([("a", 1, 0), (None, 0, 0), ("zz", None, 0)], "doc_id string, quality int, toxic int").write.parquet(f"{base}/labels.parquet")
+    spark.createDataFrame([(1, "never to be found in any of these texts at all, not even once"), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{base}/benchmark.parquet")
+    rows = lambda df: sorted(map(repr, df.collect()))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, base)
+        assert out.columns == docs.columns, name
+        got, n = out.collect(), Counter(map(repr, out.collect()))
+        if name == "quality rules":
+            assert {r.doc_id for r in got} == {"a", "b", None, "f"} and sum(r.doc_id == "a" for r in got) == 3
+        if name in ("line dedup", "benchmark decontamination"):
+            assert [(r.doc_id, r.text, r.n_removed, r.fp, r.k1) for r in sorted(got, key=repr)] == [(r.doc_id, r.text, r.n_removed, r.fp, r.k1) for r in sorted(docs.collect(), key=repr)]
+        if name == "SimHash near-dedup":
+            prose, other = awkward()[0][1], awkward()[3][1]
+            assert sorted((str(r.doc_id), r.text) for r in got) == sorted([("a", prose), ("a", other), ("c", None), ("f", awkward()[9][1]), ("g", "one two")])
+            assert max(n.values()) == 1
+        empty = stage(spark, docs.limit(0), base)
+        assert empty.columns == docs.columns and rows(empty) == []
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, base).collect()
+    assert Counter(r.doc_id for r in packed if r.piece == 0) == Counter(r[0] for r in awkward())
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), base).count() == 0
