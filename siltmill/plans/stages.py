@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltmill.functions import extract, jsonx, nested
+from siltmill.functions import extract, jsonx, nested, text
 from siltmill.functions.lookups import HEALTH, Domain, resolve
-from siltmill.operators import ablation, dedup, merge, reports, review, roles, sampling, steps, teacher
+from siltmill.operators import ablation, dedup, merge, planner, reports, review, roles, sampling, steps, teacher
 from siltmill.scratch import materialize
 from siltmill.sources import jsonl, sinks
 
@@ -253,6 +253,59 @@ def review_results(
     return rows.count()
 
 
+def planner_trajectories(
+    spark: SparkSession, input: str, output: str, ask: Callable[[dict], dict], run: Callable[[str, dict, dict], str], system: str, catalog: list[dict], domain: Domain = HEALTH, loop: planner.Loop = planner.Loop(),
+    max_samples: int = 15000, expected_intents: tuple[str, ...] = (), no_tool_ratio: float = 0.3, irrelevant_tool_ratio: float = 0.1, tool_failure_ratio: float = 0.1, max_tool_count: int | None = 4, force_rebuild: bool = False,
+) -> int:
+    """Trajectories of seeds that have none yet; seeds whose planner fails are left for the next run. Returns the rows added."""
+    rows = _strict(spark, input).withColumn("id", F.get_json_object("raw", "$.id"))
+    wanted = planner.requested_intents(expected_intents, domain)
+    if wanted:
+        rows = rows.where(resolve(domain)(F.get_json_object("raw", "$.expected_intent")).isin(*wanted))
+    done = _done(spark, output, force_rebuild)
+    pending = merge.resume(rows, done, limit=max_samples, order="line_no") if done is not None else rows.orderBy("line_no").limit(max_samples)
+    drawn = planner.seeds(pending.drop("id"), domain, no_tool_ratio, irrelevant_tool_ratio, tool_failure_ratio, max_tool_count, loop.seed)
+
+    def work(seed: dict) -> list[tuple[str, dict]]:
+        row = planner.referenced(seed, ask, run, catalog, domain, system, loop)
+        return [("planner", row)] if row else []
+
+    made = materialize(planner.run_rows(drawn, work), "trajectories")
+    _write_raw(made, output, mode="overwrite" if force_rebuild else "append")
+    return made.count()
+
+
+def multiturn(
+    spark: SparkSession, input: str, output_session: str, output_planner: str, output_executor: str, ask: Callable[[dict], dict], run: Callable[[str, dict, dict], str], answer: Callable[[dict], str | None],
+    simulate: Callable[[dict], dict], compress: Callable[[str, str], str], system: str, catalog: list[dict], domain: Domain = HEALTH, loop: planner.Loop = planner.Loop(), max_samples: int = 100, max_turns: int = 3,
+    min_turns: int = 2, compress_every_turns: int = 2, force_rebuild: bool = False,
+) -> dict:
+    """Sessions of the first seeds, and the planner and executor rows of their turns. Returns the rows of each kind."""
+    drawn = planner.seeds(_strict(spark, input).orderBy("line_no").limit(max_samples), domain, seed=loop.seed)
+    made = planner.sessions(drawn, ask, run, answer, simulate, compress, catalog, domain, system, loop, max_turns, min_turns, compress_every_turns)
+    made = materialize(made, "sessions")
+    counts = {}
+    for kind, path in (("session", output_session), ("planner", output_planner), ("executor", output_executor)):
+        part = made.where(F.col("kind") == kind)
+        part.orderBy("line_no", "n").select("raw").write.mode("overwrite" if force_rebuild else "append").text(path)
+        counts[kind] = part.count()
+    return counts
+
+
+def rag_summary(spark: SparkSession, input: str, output: str, ask: Callable[[dict], dict], max_chars: int = 3000, max_retries: int = 3) -> dict:
+    """Reference knowledge from answered questions. ``ask`` takes the question and reply, cut at ``max_chars``, and gives
+    ``{"content"}``; a row it fails on is written with an empty summary. Ids written before are skipped."""
+    get = lambda k: F.coalesce(F.get_json_object("raw", f"$.{k}"), F.lit(""))
+    rows = _strict(spark, input).select("line_no", *(get(k).alias(k) for k in ("id", "user_query", "assistant_reply", "expected_intent")))
+    pending = merge.resume(rows, jsonl.processed_ids(spark, output))
+    request = F.to_json(F.struct(F.left("user_query", F.lit(max_chars)).alias("query"), F.left("assistant_reply", F.lit(max_chars)).alias("reply")))
+    said = teacher.ask(pending.withColumn("request", request), "request", ask, max_retries)
+    summary = F.coalesce(text.strip(F.get_json_object("answer", "$.content")), F.lit(""))
+    made = materialize(said.select("line_no", "id", "user_query", "assistant_reply", summary.alias("rag_summary"), "expected_intent", F.col("error").isNotNull().alias("failed")), "summaries")
+    _write_rows(made.drop("failed"), output, False)
+    return made.agg(F.count("*").alias("written"), F.count_if("failed").alias("failed")).first().asDict()
+
+
 def no_intent_executor(spark: SparkSession, input: str, output: str, system: str, no_reasoning: bool = True, require_external_info: bool = False, max_samples: int | None = None) -> int:
     """The mode that copies answers."""
     rows = _rows(spark, input).where("status = 'object'")
