@@ -10,11 +10,14 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from siltmill.scratch import materialize
 from siltmill.ship import ship
 
 
@@ -55,6 +58,26 @@ def ask(rows: DataFrame, request: str, teacher: Callable[[dict], dict], retries:
     return rows.mapInPandas(run, schema)
 
 
+def ask_until(rows: DataFrame, request: Callable[[int], Column], teacher: Callable[[dict], dict], reason: Column, attempts: int = 3, retries: int = 5) -> tuple[DataFrame, dict[str, int]]:
+    """Rows with the first ``answer`` against which ``reason`` has nothing, and how often it had something.
+
+    ``request`` gives the request of an attempt, from 0; ``reason`` reads the column ``answer`` and is null for a good one.
+    Rows that stay without a good answer are left out.
+    """
+    pending, parts, counts = rows, [], {}
+    for k in range(max(1, attempts)):
+        said = ask(pending.withColumn("__request", request(k)), "__request", teacher, retries)
+        judged = materialize(said.withColumn("__why", F.when(F.col("answer").isNull(), "no_answer").otherwise(reason)).drop("__request", "error"), "asked")
+        parts.append(judged.where("__why is null").drop("__why"))
+        bad = judged.where("__why is not null")
+        for r in bad.groupBy("__why").count().collect():  # a handful of reasons
+            counts[r["__why"]] = counts.get(r["__why"], 0) + r["count"]
+        pending = bad.drop("answer", "__why")
+        if not sum(r["count"] for r in bad.groupBy().count().collect()):
+            break
+    return reduce(DataFrame.unionByName, parts), counts
+
+
 def converse(rows: DataFrame, planner: Callable[[dict], dict], simulator: Callable[[dict], dict], compress: Callable[[str], str], max_turns: int = 3, min_turns: int = 2, recent: int = 3, every: int = 2) -> DataFrame:
     """``(id, turns, compressed)``: whole sessions, each run in one task; ``turns`` is JSON text.
 

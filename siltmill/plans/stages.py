@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltmill.functions import extract, jsonx, nested, text
+from siltmill.functions import extract, jsonx, nested, text, validation
 from siltmill.functions.lookups import HEALTH, Domain, resolve
 from siltmill.operators import ablation, dedup, merge, planner, reports, review, roles, sampling, steps, teacher
 from siltmill.scratch import materialize
@@ -306,16 +307,87 @@ def rag_summary(spark: SparkSession, input: str, output: str, ask: Callable[[dic
     return made.agg(F.count("*").alias("written"), F.count_if("failed").alias("failed")).first().asDict()
 
 
-def no_intent_executor(spark: SparkSession, input: str, output: str, system: str, no_reasoning: bool = True, require_external_info: bool = False, max_samples: int | None = None) -> int:
-    """The mode that copies answers."""
+def no_intent_executor(
+    spark: SparkSession, input: str, output: str, system: str, no_reasoning: bool = True, require_external_info: bool = False, max_samples: int | None = None, shuffle: bool = False, seed: int = 42,
+    ask: Callable[[dict], dict] | None = None, max_attempts: int = 3, force_rebuild: bool = True,
+) -> int:
+    """Answers without their intent: copied, or, with ``ask``, written anew from question and external information until
+    one passes the checks. ``ask`` gives ``{"answer", "reasoning"}``. ``shuffle`` takes the rows in a seeded order."""
     rows = _rows(spark, input).where("status = 'object'")
     get = lambda p, n: F.get_json_object("raw", p).alias(n)
     read = rows.select("line_no", get("$.id", "id"), get("$.source_id", "source_id"), get("$.user_query", "user_query"), get("$.intent", "intent"), get("$.external_info", "external_info"), get("$.executor_raw_output.reasoning_content", "reasoning_content"), get("$.executor_raw_output.content", "content"))
-    read = read.orderBy("line_no").limit(max_samples) if max_samples is not None else read
-    sinks.write(ablation.copy_rows(read, system, not no_reasoning, require_external_info), output)
+    if require_external_info:
+        read = read.where(text.strip(F.coalesce("external_info", F.lit(""))) != "")
+    if max_samples is not None:
+        read = read.orderBy(*([F.xxhash64(F.lit(seed), "line_no")] if shuffle else []), "line_no").limit(max_samples)
+    source = "executor_no_intent_copy"
+    if ask is not None:
+        source = "executor_no_intent_api"
+        done = _done(spark, output, force_rebuild)
+        if done is not None:
+            named = done.select(F.regexp_replace("id", "_no_intent$", "").alias("id"))
+            read = merge.resume(read, named)
+        read = read.where(text.strip(F.coalesce("user_query", F.lit(""))) != "").drop("content", "reasoning_content")
+        told = lambda k: F.get_json_object("answer", f"$.{k}")
+        request = F.to_json(F.struct(ablation.user_prompt(F.col("user_query"), F.col("external_info")).alias("prompt")))
+        good, _ = teacher.ask_until(read, lambda k: request, ask, validation.no_intent_answer(told("answer"), told("reasoning")), max_attempts)
+        read = good.withColumns({"content": told("answer"), "reasoning_content": told("reasoning")}).drop("answer")
+    made = ablation.copy_rows(read, system, not no_reasoning, require_external_info, source)
+    sinks.write(made, output, "overwrite" if force_rebuild else "append")
     return jsonl.count_lines(spark, output)
 
 
+def identity_sft(
+    spark: SparkSession, output: str, ask: Callable[[dict], dict], name: str, team: str, planner_system: str, executor_system: str, topics: tuple[str, ...], other_topics: tuple[str, ...] = (), catalog: tuple[str, ...] = (),
+    planner_total: int = 240, executor_total: int = 240, max_attempts: int = 3, seed: int = 42, kinds: tuple[str, ...] = ("planner", "executor"),
+) -> dict:
+    """Samples in which the model says who it is. ``ask`` takes a kind, a topic and the tools shown, and gives ``{"content"}``
+    with user_query, reasoning and, for the executor, answer as JSON; what breaks the rules is asked again with another
+    topic. A fifth of the topics are ``other_topics``, a quarter of the plans show no tools, the others two to six."""
+    counts, parts = {}, []
+    for kind, total in (("planner", planner_total), ("executor", executor_total)):
+        if kind not in kinds:
+            continue
+        rows = spark.range(total).select(F.format_string(f"identity_{kind}_llm_%05d", "id").alias("id"))
+        rows = merge.resume(rows, jsonl.processed_ids(spark, output))
+        draw = lambda n, what, k, kind=kind: F.pmod(F.xxhash64(F.lit(seed), F.lit(kind), F.lit(what), F.lit(k), "id"), F.lit(n))
+        names = F.array(*(F.lit(c) for c in catalog)).cast("array<string>")
+        most, few = min(6, len(catalog)), min(2, len(catalog))
+        mixed = F.transform(F.array_sort(F.transform(names, lambda t: F.struct(F.xxhash64(F.lit(seed), "id", t).alias("h"), t.alias("t")))), lambda s: s["t"])
+        shown = F.when(draw(4, "mode", 0) == 0, F.array().cast("array<string>")).otherwise(F.slice(mixed, F.lit(1), (few + draw(most - few + 1, "count", 0)).cast("int")))
+        rows = rows.withColumn("tools", shown if kind == "planner" and catalog else F.array().cast("array<string>"))
+
+        def request(k: int, kind=kind, draw=draw) -> Column:
+            pick = lambda of: F.element_at(F.array(*(F.lit(t) for t in of)), (draw(len(of), "topic", k) + 1).cast("int"))
+            topic = F.when(draw(5, "language", k) == 0, pick(other_topics)).otherwise(pick(topics)) if other_topics else pick(topics)
+            return F.to_json(F.struct(F.lit(kind).alias("kind"), topic.alias("topic"), F.col("tools")))
+
+        said = jsonx.lenient_object(F.get_json_object("answer", "$.content"))
+        field = lambda k, said=said: text.strip(F.coalesce(jsonx.field(said, f"$.{k}"), F.lit("")))
+        reason = validation.identity_answer(field("user_query"), field("answer"), field("reasoning"), name, team) if kind == "executor" else validation.identity_plan(field("user_query"), field("reasoning"))
+        good, bad = teacher.ask_until(rows, request, ask, F.when(~jsonx.is_object(said), "not_dict").otherwise(reason), max_attempts)
+        plan = F.concat(F.lit('{"intent": "其他", "action": "planning_finish", "finish_reason": "'), F.when(F.size("tools") > 0, IDENTITY_WITH_TOOLS).otherwise(IDENTITY_NO_TOOLS), F.lit('"}'))
+        body = text.compose_reasoning(field("reasoning"), field("answer") if kind == "executor" else plan)
+        message = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
+        chat = F.array(message("system", F.lit(executor_system if kind == "executor" else planner_system)), message("user", field("user_query")), message("assistant", body))
+        mode = F.when(F.size("tools") > 0, "random_subset").otherwise("no_tools") if kind == "planner" else F.lit("")
+        extra = {
+            "source": F.lit(f"identity_{kind}_llm"), "action": F.lit("planning_finish"), "include_reasoning": F.lit(True), "tool_names": F.array_join("tools", ","), "answer_template_intent": F.lit("其他"),
+            "planner_tool_sampling_mode": mode, "intent": F.lit("其他"),
+        }
+        fields = {k: v for k, v in merge.METADATA.items() if k not in ("domain", "executor_assembly_system_prompt_source")}
+        parts.append(good.select("id", text.chatml(chat).alias("prompt"), merge.fixed_metadata(F.lit("{}"), "identity", fields, extra).alias("metadata")))
+        counts[f"{kind}_failed"] = sum(bad.values())
+    made = materialize(reduce(DataFrame.unionByName, parts), "identity")
+    _write_rows(made.withColumn("line_no", F.col("id")), output, False)
+    return counts | {"written": made.count()}
+
+
+# Why a planner ends at once when it is asked who it is.
+IDENTITY_NO_TOOLS = "用户问题为自我介绍/身份澄清/能力咨询类，不属于健康管理意图，当前也未提供工具，直接结束规划由下游回答。"
+IDENTITY_WITH_TOOLS = "用户问题为自我介绍/身份澄清/能力咨询类，不属于健康管理意图，所列工具与该问题无关，无需调用，直接结束规划由下游回答。"
+
+
 def downsample(spark: SparkSession, input: str, output: str, target_intent: str, remove_count: int, removed_output: str | None = None, seed: int = 42, domain: Domain = HEALTH) -> dict:
     rows = _rows(spark, input).where("status = 'object'")
     read = rows.select("line_no", "raw", extract.row_intent(F.col("raw"), domain).alias("intent"), extract.sampling_mode(F.col("raw")).alias("mode"))
