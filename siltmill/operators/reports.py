@@ -2,11 +2,13 @@
 
 Each row yields the (counter, value) pairs it adds to; one grouped count over these, with the first
 row that had each value, gives every frequency table of the report at once. Sums and lengths come from
-one more aggregate. The driver sees report-sized results only: ``most`` values of each counter.
+one more aggregate. The driver sees report-sized results only: ``most`` values of each counter by name and
+all others in one figure; ``counters`` has every value, as a table.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from siltmill.functions import nested, text
 from siltmill.functions.numbers import length_stats
 
-MISSING = "(missing)"
+MISSING, OTHERS = "(missing)", "(others)"
 # Tools that search, and the text that stands for no external information.
 SEARCH_TOOLS = ("search_rag", "search_web", "search_food_web", "search_exercise_web", "search_tcm_web", "search_emotion_web", "search_safety_web")
 NO_INFO = "无外部补充信息。"
@@ -250,13 +252,19 @@ def figures(rows: DataFrame, spec: Spec) -> DataFrame:
 
 
 def report(rows: DataFrame, file_type: str, intents: list[str] = (), order: str = "row_idx", most: int = 1000) -> dict:
-    """All figures and, in order of frequency, the ``most`` most frequent values of each counter."""
+    """All figures and, in order of frequency, the ``most`` most frequent values of each counter; OTHERS counts the rest."""
     spec = spec_of(file_type, list(intents))
     out = figures(rows, spec).first().asDict(recursive=True)
     if spec.counts:
+        full = counters(rows, spec, order).where("n > 0 or counter = 'prompt_sections'")
         nth = F.row_number().over(Window.partitionBy("counter").orderBy(F.desc("n"), "first", "value"))
-        for r in counters(rows, spec, order).where("n > 0 or counter = 'prompt_sections'").withColumn("k", nth).where(F.col("k") <= most).orderBy("counter", "k").collect():
+        for r in full.withColumn("k", nth).where(F.col("k") <= most).orderBy("counter", "k").collect():
             out.setdefault(r["counter"], {})[r["value"]] = r["n"]
+        if any(isinstance(v, dict) and len(v) >= most for v in out.values()):
+            for r in full.groupBy("counter").agg(F.sum("n").alias("n")).collect():  # one row a counter
+                rest = r["n"] - sum(out[r["counter"]].values())
+                if rest:
+                    out[r["counter"]][OTHERS] = rest
     return out
 
 
@@ -267,6 +275,49 @@ def _share(x) -> str:
     return f"{float(x or 0):.2f}%"
 
 
+# What a report says first, by type of file. Names ending in _pct are shares; a dot leads into a figure's parts.
+HIGHLIGHTS = {
+    "planner_trajectory": (
+        "轨迹 {rows} 条，预计 step-wise SFT {estimated_stepwise_samples} 条，平均轨迹长度 {trajectory_length.avg:.2f}。",
+        "特殊轨迹占 {special_trajectory_rows_pct}，但转换后特殊 step 只占 {special_stepwise_samples_pct}。",
+        "工具调用轨迹占 {rows_with_tool_call_pct}，无工具轨迹占 {rows_with_no_tools_pct}。",
+        "最终动作：planning_finish={final_action.planning_finish}，ask_clarification={final_action.ask_clarification}。",
+        "风险计数：重复 id={duplicate_ids}，raw_content 空工具调用轨迹={rows_with_raw_empty_tool_call}，expected intent 冲突={rows_with_expected_intent_conflict}，forbidden tool={rows_with_forbidden_tool_call}。",
+    ),
+    "executor_answer_sft": (
+        "执行阶段样本 {rows} 条，外部参考覆盖 {rows_with_external_info_pct}，追问建议覆盖 {rows_with_clarification_ask_pct}。",
+        "平均回答长度 {answer_chars.avg:.0f} 字，平均外部参考长度 {external_info_chars.avg:.0f} 字。",
+        "工具错误样本={rows_with_tool_error}，写文件计划={rows_with_file_write_plan}，实际写文件={rows_file_written}。",
+    ),
+    "message_sft": (
+        "step-wise 样本 {rows} 条，含 reasoning {rows_with_reasoning_pct}，含工具消息 {rows_with_tool_messages_pct}。",
+        "平均 messages 数 {message_count.avg:.2f}，平均 assistant 文本 {assistant_content_chars.avg:.0f} 字。",
+    ),
+    "final_prompt": (
+        "最终 prompt 样本 {rows} 条，含 reasoning {rows_with_reasoning_pct}，含工具 schema {rows_with_tool_schema_pct}。",
+        "平均 prompt 长度 {prompt_chars.avg:.0f} 字，平均 assistant 轮数 {assistant_turns.avg:.2f}。",
+        "merge_source：planner_final={merge_source.planner_final}，executor_answer={merge_source.executor_answer}。",
+        "intent 覆盖率 {rows_with_nonempty_intent_pct}，answer_template_intent 覆盖率 {rows_with_nonempty_answer_template_intent_pct}。",
+    ),
+    "": ("JSON 样本 {rows} 条，重复 id={duplicate_ids}，无效行={invalid_lines}。",),
+}
+_SAME = {"planner_step_sft": "message_sft", "merged_final_prompt": "final_prompt"}
+_PLACE = re.compile(r"\{([\w.]+)(?::([^}]*))?\}")
+
+
+def highlights(file_type: str, stats: dict, invalid_lines: int = 0) -> list[str]:
+    """The sentences of a type, with its figures; what wasn't counted is 0."""
+
+    def figure(place: re.Match) -> str:
+        value = stats | {"invalid_lines": invalid_lines}
+        for part in place[1].split("."):
+            value = (value or {}).get(part)
+        return _share(value) if place[1].endswith("_pct") else format(value or 0, place[2] or "")
+
+    return [_PLACE.sub(figure, s) for s in HIGHLIGHTS.get(_SAME.get(file_type, file_type), HIGHLIGHTS[""])]
+
+
+# The sentences below, their severities and limits.
 def issues(file_type: str, stats: dict, invalid_lines: int = 0) -> list[tuple[str, str]]:
     """(severity, what) of the rules that hold."""
     found = []
@@ -304,14 +355,15 @@ def _meter(share: float, width: int = 20) -> str:
     return "█" * full + "░" * (width - full)
 
 
-def markdown(name: str, file_type: str, stats: dict, invalid_lines: int = 0, limit: int = 8) -> str:
-    """A report: figures, lengths, distributions with meters, issues."""
+def markdown(name: str, file_type: str, stats: dict, invalid_lines: int = 0, limit: int = 8, detail: bool = True) -> str:
+    """A report: highlights and issues, distributions with meters, and with ``detail`` all figures and lengths."""
     cell = lambda x: str(x).replace("|", "\\|").replace("\n", "<br>")
     table = lambda head, rows: ["| " + " | ".join(head) + " |", "|" + "---|" * len(head), *("| " + " | ".join(map(cell, r)) + " |" for r in rows), ""]
     plain = [(k, _share(v) if k.endswith("_pct") else v) for k, v in stats.items() if not isinstance(v, dict)]
     lengths = [(k, *(f"{v[f]:.2f}" if f == "avg" else v[f] for f in ("count", "min", "avg", "p50", "p90", "p95", "p99", "max"))) for k, v in stats.items() if isinstance(v, dict) and "p50" in v]
-    out = [f"# {name}（{file_type}）", "", *table(("figure", "value"), plain)]
-    if lengths:
+    out = [f"# {name}（{file_type}）", "", "## 重点摘要", "", *(f"- {h}" for h in highlights(file_type, stats, invalid_lines)), ""]
+    out += table(("figure", "value"), plain) if detail else []
+    if lengths and detail:
         out += ["## lengths", "", *table(("field", "count", "min", "avg", "p50", "p90", "p95", "p99", "max"), lengths)]
     for k, v in stats.items():
         if isinstance(v, dict) and "p50" not in v and v:

@@ -115,8 +115,9 @@ def merge_tasks(spark: SparkSession, input: list[str], output: str, dedup_by: st
     return found
 
 
-def data_stats(spark: SparkSession, paths: list[str], format: str = "markdown", output: str | None = None, max_rows: int | None = None, domain: Domain = HEALTH) -> str:
-    """A report of each file, as markdown or JSON."""
+def data_stats(spark: SparkSession, paths: list[str], format: str = "markdown", output: str | None = None, max_rows: int | None = None, domain: Domain = HEALTH, detail: bool = True, counters_output: str | None = None) -> str:
+    """A report of each file, as markdown (highlights and distributions, and with ``detail`` all figures) or JSON. ``counters_output``
+    gets every value of every counter, which a report has up to a thousand of."""
     parts = []
     for path in paths:
         rows = materialize(_rows(spark, path), "stats")
@@ -132,10 +133,13 @@ def data_stats(spark: SparkSession, paths: list[str], format: str = "markdown",
             if "merged" in path.rsplit("/", 1)[-1] or good.where(source.isin("planner_final", "executor_answer")).limit(1).count():
                 kind = "merged_final_prompt"
         parts.append((path, kind, lines, reports.report(good, kind, domain.intents)))
+        if counters_output:
+            full = reports.counters(good, reports.spec_of(kind, list(domain.intents)), "row_idx").select(F.lit(path).alias("path"), "counter", "value", "n")
+            sinks.write(full, counters_output, "overwrite" if path == paths[0] else "append")
     if format == "json":
-        made = json.dumps([{"path": p, "file_type": k, **line, "stats": s} for p, k, line, s in parts], ensure_ascii=False, indent=2)
+        made = json.dumps([{"path": p, "file_type": k, **line, "highlights": reports.highlights(k, s, line["invalid_lines"]), "stats": s} for p, k, line, s in parts], ensure_ascii=False, indent=2)
     else:
-        made = "\n".join(reports.markdown(p.rsplit("/", 1)[-1], k, s, line["invalid_lines"]) for p, k, line, s in parts)
+        made = "\n".join(reports.markdown(p.rsplit("/", 1)[-1], k, s, line["invalid_lines"], detail=detail) for p, k, line, s in parts)
     if output:
         spark.createDataFrame([(made,)], "value string").coalesce(1).write.mode("overwrite").text(output)
     return made

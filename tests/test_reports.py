@@ -34,6 +34,20 @@ TRAJECTORIES = [
 ]
 
 
+def test_values_beyond_the_limit_are_counted_together(spark):
+    rows = rows_of(spark, [{"id": str(i), "user_query": "q", "scenario": f"s{i % 5}"} for i in range(12)])
+    got = reports.report(rows, "seed", most=2)["scenario"]
+    assert got == {"s0": 3, "s1": 3, reports.OTHERS: 6} and reports.OTHERS not in reports.report(rows, "seed")["scenario"]
+
+
+def test_highlights():
+    stats = {"rows": 3, "answer_chars": {"avg": 12.6}, "external_info_chars": {"avg": 0}, "rows_with_external_info_pct": 33.333, "rows_with_tool_error": 2, "duplicate_ids": 1}
+    assert reports.highlights("executor_answer_sft", stats) == ["执行阶段样本 3 条，外部参考覆盖 33.33%，追问建议覆盖 0.00%。", "平均回答长度 13 字，平均外部参考长度 0 字。", "工具错误样本=2，写文件计划=0，实际写文件=0。"]
+    assert reports.highlights("seed", stats, 4) == ["JSON 样本 3 条，重复 id=1，无效行=4。"]
+    assert [len(reports.highlights(k, {})) for k in ("planner_trajectory", "planner_step_sft", "message_sft", "final_prompt", "merged_final_prompt")] == [5, 2, 2, 4, 4]
+    assert "## 重点摘要" in reports.markdown("x", "seed", stats) and "## lengths" not in reports.markdown("x", "seed", stats, detail=False)
+
+
 def test_trajectory_report(spark):
     got = reports.report(rows_of(spark, TRAJECTORIES), "planner_trajectory")
     want = {
