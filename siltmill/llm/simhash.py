@@ -10,6 +10,8 @@ A cell that holds few fingerprints has its pairs compared directly. The members
 (thousands of near copies) are never expanded into pairs: they are split by the 64-bit strings one flip
 away. Two fingerprints differ in at most two bits exactly if they share such a string, and at most
 65 distinct fingerprints share one, so every group stays small and no link is lost.
+
+Copies with more changes are found by the same bound on a longer fingerprint: see ``similar_links``.
 """
 
 from __future__ import annotations
@@ -21,12 +23,13 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltmill.llm.common import needed, text_batches
 from siltmill.operators.components import connected_components
-from siltmill.scratch import materialize
+from siltmill.scratch import discard, materialize
+from siltmill.ship import ship
 
 #: Words of a shingle, seed of its XXH64, bits that may differ.
 SHINGLE, SEED, RADIUS = 3, 42, 2
@@ -143,63 +146,84 @@ def hex_print(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(docs: DataFrame, doc="doc_id", text="text", wide: bool = True) -> DataFrame:
-    """``docs`` with one row of each component, that with the smallest id.
+def _row_key(d: Column, t: Column) -> list[Column]:
+    """128 bits of a row's id and text."""
+    return [F.xxhash64(d, t).alias("k1"), F.xxhash64(F.lit(3), d, t).alias("k2")]
+
 
-    ``wide`` takes the links of ``similar_documents`` (five words, similarity 0.8 or more), else those of
-    ``near_duplicates``. Rows whose id is null go if they share a component with an id; a fingerprint
-    that only null ids have keeps one row of each text.
+def keep_one(docs: DataFrame, doc="doc_id", text="text") -> DataFrame:
+    """``docs`` with one row of each component of ``similar_documents``, that with the smallest id.
+
+    Any column may be null; a row with an id goes before rows without one, and rows with one id go by
+    a hash of their text. Of rows with equal ids and texts one stays, by a hash of all columns. Extra
+    columns pass through, whatever their names; an empty table stays empty.
     """
-    found = similar_documents(docs, doc, text) if wide else near_duplicates(docs, doc, text)
-    found = materialize(found, "components")
-    stays = found.where(F.col("doc") == F.col("component")).select(F.col("doc").alias(doc))
-    repeated = stays.groupBy(doc).count().where("count > 1").limit(1).count() > 0
-    kept = docs.join(stays.distinct() if repeated else stays, doc, "left_semi")
-    if repeated:
-        kept = kept.dropDuplicates([doc])
-    kept = kept.select(*docs.columns)
-    if found.where("component is null").limit(1).count():
-        named = found.where("component is not null").select([c for c in ("fp", "hi", "lo") if c in found.columns]).distinct()
-        nameless = docs.where(F.col(f"`{doc}`").isNull()).dropDuplicates([text])
-        prints = set_prints(nameless, doc, text).select("hi", "lo") if wide else fingerprints(nameless, doc, text)
-        if prints.join(named, named.columns, "left_anti").count():
-            kept = kept.unionByName(_without(nameless, named, doc, text, wide))
-    return kept
-
-
-def _without(rows: DataFrame, named: DataFrame, doc: str, text: str, wide: bool) -> DataFrame:
-    """``rows`` whose fingerprint isn't in ``named``; few rows, as they have no id."""
-    kind = "struct<hi:long,lo:long>" if wide else "struct<fp:long>"
-
-    @F.pandas_udf(kind)
-    def prints(texts: pd.Series) -> pd.DataFrame:
-        if wide:
-            return pd.DataFrame([set_print(shingle_hashes(t)) for t in texts], columns=["hi", "lo"])
-        return pd.DataFrame({"fp": np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)})
-
-    marked = rows.withColumn("__p", prints(F.col(f"`{text}`")))
-    same = named.select(F.struct(*named.columns).alias("__q"))
-    return marked.join(same, marked["__p"] == same["__q"], "left_anti").drop("__p")
-
-
-# Copies with more changes: an exact join of the sets of five-word shingles.
+    found = materialize(similar_documents(docs, doc, text), "components")
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc").isNull(), "doc", "k1", "k2")).alias("best")).select("root", "best.k1", "best.k2")
+    best = materialize(best, "best")
+    chosen = (F.col("r.k1") == F.col("b.k1")) & (F.col("r.k2") == F.col("b.k2"))
+    gone = found.alias("r").join(best.alias("b"), "root").where(~chosen).select(F.col("r.k1").alias("__k1"), F.col("r.k2").alias("__k2")).distinct()
+    k1, k2 = _row_key(F.col(f"`{doc}`"), F.col(f"`{text}`"))
+    kept = docs.withColumns({"__k1": k1, "__k2": k2}).join(materialize(gone, "gone"), ["__k1", "__k2"], "left_anti")
+    again = found.groupBy(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).count().where("count > 1").drop("count")
+    again = materialize(again, "repeated")
+    if not again.isEmpty():
+        every = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
+        nth = F.row_number().over(Window.partitionBy("__k1", "__k2").orderBy(every))
+        one = kept.join(again, ["__k1", "__k2"], "left_semi").withColumn("__n", nth).where("__n = 1").drop("__n")
+        kept = kept.join(again, ["__k1", "__k2"], "left_anti").unionByName(one)
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+# Copies with more changes: five-word shingles, similarity 0.8 or more.
 
 #: Words of the shingles that are compared, and their similarity.
 WIDE_SHINGLE, SIMILAR = 5, 0.8
-#: Documents whose shingles are counted to put a set's rare ones first, about, and counts that every executor gets.
-#: They decide how many pairs meet, never which are found: any order that all sets share gives the same links.
-SAMPLE, COMMON = 10_000, 200_000
-#: Rows of a bucket that one task compares with the bucket at most, about; larger buckets are dealt by salt.
-BUCKET = 2000
+#: One in SHARE documents, SAMPLE at least, has its shingles counted to put a set's rare ones first; every executor
+#: gets COMMON counts. They decide how many pairs meet, never which are found: any order that all sets share gives
+#: the same links. A share, and not a number, keeps the cells of unsampled shingles alike at every size.
+SHARE, SAMPLE, COMMON = 10, 1000, 400_000
+#: Nodes of a cell that are compared at once; those of larger cells meet the least of their cell first. Cells that are
+#: open then are compared within arrays up to OPEN nodes, and in blocks of about BLOCK_NODES beyond.
+FEW, OPEN, BLOCK_NODES = 8, 64, 1000
+#: Segment counts that are subtracted at a time.
+COMPARED = 1 << 22
+#: Rows that are sent to every executor at most; more are joined by shuffle.
+BROADCAST = 1_000_000
+#: A set's prefix has a key more for every EXTRA of its shingles, and similar sets share so many more.
+EXTRA = 50
+#: Most segments are 2 to this power. Words whose hashes a Python worker remembers.
+MOST_SEGMENTS, REMEMBERED = 20, 200_000
+
+
+class _Hashes(dict):
+    """Hashes of words; a bounded number of short ones is remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = xxhash.xxh64_intdigest(word, SEED)
+        if len(self) >= REMEMBERED:
+            self.clear()
+        if len(word) <= 64:
+            self[word] = found
+        return found
+
+
+_HASHES = _Hashes()
 
 
 def shingle_hashes(text: str | None, shingle: int = WIDE_SHINGLE) -> np.ndarray:
-    """Distinct hashes of the word shingles; of the whole text if it is shorter; none without words."""
+    """Distinct 64-bit hashes of the word shingles; of the whole text if it is shorter; none without words."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
         return np.zeros(0, np.int64)
-    spans = [b" ".join(words)] if len(words) <= shingle else map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in spans), np.uint64)).view(np.int64)
+    each = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    size = min(shingle, len(each))
+    n = len(each) - size + 1
+    mixed = np.full(n, size, np.uint64)
+    for i in range(size):
+        mixed = (mixed ^ each[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(32)
+    return np.unique(mixed).view(np.int64)
 
 
 def set_print(hashes: np.ndarray) -> tuple[int, int]:
@@ -210,8 +234,33 @@ def set_print(hashes: np.ndarray) -> tuple[int, int]:
     return int(hi), int(lo)
 
 
+def segment_counts(hashes: np.ndarray) -> bytes:
+    """A set as a bit vector over all hashes has one to two of its bits in each of these segments, on average;
+    a byte holds a segment's popcount. Segments are equal ranges of hashes, so that two neighbours make
+    one of the next wider kind."""
+    bits = min(MOST_SEGMENTS, max(3, (len(hashes) - 1).bit_length() - 1))
+    at = (hashes.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def manhattan(a: bytes, b: bytes) -> int:
+    """Distance of two vectors of segment popcounts: never more than the number of shingles that only one set has."""
+    x, y = np.frombuffer(a, np.uint8).astype(np.int16), np.frombuffer(b, np.uint8).astype(np.int16)
+    while len(x) > len(y):
+        x = x[::2] + x[1::2]
+    while len(y) > len(x):
+        y = y[::2] + y[1::2]
+    return int(np.abs(x - y).sum())
+
+
+def more_keys(size: int) -> int:
+    """Keys that a set's prefix is longer than it must be for similar sets to share one; a number below 256."""
+    return min(255, size // EXTRA)
+
+
 def _prefix(hashes: np.ndarray, common: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
-    """The first n - ceil(similarity n) + 1 of n shingles, rare ones first: two sets of that similarity share one."""
+    """The first n - ceil(similarity n) + 1 + more_keys(n) of n shingles, rare ones first: two sets of that
+    similarity share one, and as many more as the set has that has fewer."""
     if not len(hashes):
         return hashes
     seen = np.zeros(len(hashes), np.int64)
@@ -219,34 +268,42 @@ def _prefix(hashes: np.ndarray, common: np.ndarray, counts: np.ndarray, similari
         at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
         seen = np.where(common[at] == hashes, counts[at], 0)
     # Rounding may only lengthen a prefix, never shorten it.
-    keep = len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1
+    keep = len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1 + more_keys(len(hashes))
     return hashes[np.lexsort((hashes, seen))[:keep]]
 
 
 def common_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Hashes, sorted, and counts of shingles that a sample of ``rows(doc, t)`` has in two texts or more."""
-    step = max(1, rows.count() // SAMPLE)
-    sample = rows.where(F.pmod(F.xxhash64("doc"), F.lit(step)) == 0).select("t").distinct()
-    sets = shingle_sets(sample.select(F.lit(0).cast("long").alias("node"), "t"))
-    found = sets.select(F.explode("s").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    step = min(SHARE, max(1, rows.count() // SAMPLE))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a stated number, as few bytes are much work here
+    sample = rows.where(F.pmod(F.xxhash64("doc"), F.lit(step)) == 0).select("t").repartition(tasks, "t").distinct()
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            key, n = np.unique(np.concatenate([np.zeros(0, np.int64), *map(shingle_hashes, b["t"])]), return_counts=True)
+            yield pd.DataFrame({"key": key, "n": n})
+
+    found = text_batches(sample).mapInPandas(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
     found = found.orderBy(F.desc("n"), "key").limit(COMMON).toPandas().sort_values("key")
     return found["key"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
 
 
 def set_prints(docs: DataFrame, doc="doc_id", text="text", similarity: float = SIMILAR) -> DataFrame:
-    """``(doc, hi, lo, size, prefix)``, a row for each row of ``docs``: print, size and prefix of its shingle set."""
-    rows = text_batches(needed(docs, doc, text)).toDF("doc", "t")
-    kind = rows.schema["doc"].dataType.simpleString()
+    """``(doc, k1, k2, hi, lo, size, prefix, segments)``, a row for each row of ``docs``: 128 bits of the row,
+    and the print, size, prefix and segment popcounts of its shingle set."""
+    rows = needed(docs, *dict.fromkeys((doc, text))).select(F.col(f"`{doc}`").alias("doc"), F.col(f"`{text}`").alias("t"))
     common, counts = common_shingles(rows)
+    rows = text_batches(rows.select("doc", *_row_key(F.col("doc"), F.col("t")), "t"))
+    kind = rows.schema["doc"].dataType.simpleString()
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             sets = [shingle_hashes(t) for t in b["t"]]
             prints = np.array([set_print(s) for s in sets], np.int64).reshape(len(b), 2)
-            prefix = [_prefix(s, common, counts, similarity) for s in sets]
-            yield pd.DataFrame({"doc": b["doc"], "hi": prints[:, 0], "lo": prints[:, 1], "size": [len(s) for s in sets], "prefix": prefix})
+            out = {"doc": b["doc"], "k1": b["k1"], "k2": b["k2"], "hi": prints[:, 0], "lo": prints[:, 1], "size": [len(s) for s in sets]}
+            yield pd.DataFrame(out | {"prefix": [_prefix(s, common, counts, similarity) for s in sets], "segments": [segment_counts(s) for s in sets]})
 
-    return rows.mapInPandas(score, f"doc {kind}, hi long, lo long, size long, prefix array<bigint>")
+    return rows.mapInPandas(score, f"doc {kind}, k1 long, k2 long, hi long, lo long, size long, prefix array<bigint>, segments binary")
 
 
 def shingle_sets(rows: DataFrame) -> DataFrame:
@@ -259,72 +316,197 @@ def shingle_sets(rows: DataFrame) -> DataFrame:
     return text_batches(rows).mapInPandas(collect, "node long, s array<bigint>")
 
 
-def _verified(edges: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The ``edges(src, dst)`` between nodes of ``texts(node, t)`` that have the similarity."""
-    known = edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))).distinct()
-    sets = texts.join(known, "node", "left_semi").groupBy("node").agg(F.min("t").alias("t"))
+def _of_ends(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """The ``nodes`` at the ends of ``edges(src, dst)``, as a table of their own."""
+    ends = materialize(edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct(), "ends")
+    return materialize(nodes.join(_small(ends), "node", "left_semi"), "some")
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """A written table, to be sent to every executor if it has few rows; else it is joined by shuffle."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST else rows
+
+
+def _within(edges: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The ``edges(src, dst)`` that the Manhattan distance of the ends' segment popcounts doesn't rule out."""
+    ship(edges.sparkSession)
+    share = (1 - similarity) / (1 + similarity)
+
+    @F.pandas_udf("boolean")
+    def near(a: pd.Series, b: pd.Series, most: pd.Series) -> pd.Series:
+        return pd.Series([manhattan(x, y) <= m for x, y, m in zip(a, b, most, strict=True)], dtype=bool)
+
+    some = _of_ends(nodes.select("node", "size", "segments"), edges)
+    src = some.select(F.col("node").alias("src"), F.col("size").alias("m"), F.col("segments").alias("a"))
+    dst = some.select(F.col("node").alias("dst"), F.col("size").alias("n"), F.col("segments").alias("b"))
+    most = (F.col("m") + F.col("n")) * F.lit(share) + F.lit(1e-6)
+    return edges.join(src, "src").join(dst, "dst").where(near("a", "b", most)).select("src", "dst")
+
+
+def _verified(edges: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The ``edges(src, dst)`` between ``nodes(node, k1, k2, size, segments)`` that have the similarity; their
+    sets are made again from ``texts(k1, k2, t)``."""
+    edges = materialize(_within(materialize(edges, "proposed"), nodes, similarity), "within")
+    wanted = _of_ends(nodes.select("node", "k1", "k2"), edges)
+    sets = texts.join(_small(wanted), ["k1", "k2"]).groupBy("node").agg(F.min("t").alias("t"))
     sets = materialize(shingle_sets(sets), "sets")
     pair = edges.join(sets.select(F.col("node").alias("src"), F.col("s").alias("a")), "src").join(sets.select(F.col("node").alias("dst"), F.col("s").alias("b")), "dst")
     shared = F.size(F.array_intersect("a", "b"))
     enough = shared >= F.lit(similarity) * (F.size("a") + F.size("b") - shared) - F.lit(1e-9)
-    return materialize(pair.where(enough).select("src", "dst"), "similar")
+    found = materialize(pair.where(enough).select("src", "dst"), "similar")
+    discard(sets, wanted, edges)
+    return found
+
+
+def _near(a_size, a_at, b_size, b_at, similarity: float):
+    """Whether a shared shingle at these places of two prefixes leaves room for the similarity: what precedes it, it, and
+    what follows."""
+    need = (a_size + b_size) * F.lit(similarity / (1 + similarity)) - F.lit(1e-6)
+    return F.least(a_at, b_at) + F.least(a_size - a_at, b_size - b_at) >= need
+
+
+def _within_cells(rows: DataFrame, apart: bool, similarity: float) -> DataFrame:
+    """``rows(key, node, size, at[, group])`` of small cells -> ``(src, dst)``, a row for each pair and cell."""
+    held = ["node", "size", "at", "group"] if apart else ["node", "size", "at"]
+    cells = rows.groupBy("key").agg(F.collect_list(F.struct(*held)).alias("m"))
+
+    def others(x: Column) -> Column:
+        fits = lambda y: (y["node"] < x["node"]) & _near(x["size"], x["at"], y["size"], y["at"], similarity) & ((y["group"] != x["group"]) if apart else F.lit(True))
+        return F.transform(F.filter("m", fits), lambda y: F.struct(x["node"].alias("src"), y["node"].alias("dst")))
+
+    return cells.select(F.inline(F.flatten(F.transform("m", others))))
+
+
+def _compare(cell: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """Pairs of a block of a large cell that the Manhattan distance leaves, if they haven't met in an earlier cell."""
+    i, j = int(cell["i"].iloc[0]), int(cell["j"].iloc[0])
+    node, group, size, at, own = (cell[c].to_numpy() for c in ("node", "group", "size", "at", "block"))
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    met = _earlier(cell["cells"], cell["ats"], at)
+    n, m, p, q = size[left][:, None], size[right][None], at[left][:, None], at[right][None]
+    open_ = (group[left][:, None] != group[right][None]) & (met[left] @ met[right].T == 0)
+    open_ &= np.minimum(p, q) + np.minimum(n - p, m - q) >= (n + m) * (similarity / (1 + similarity)) - 1e-6
+    if i == j:
+        open_ &= node[left][:, None] > node[right][None]
+    x, y = np.nonzero(open_)
+    x, y = left[x], right[y]
+    counts = [np.frombuffer(c, np.uint8).astype(np.int16) for c in cell["segments"]]
+    wide = np.array([len(c) for c in counts], np.int64)
+    narrow, near = np.minimum(wide[x], wide[y]), np.zeros(len(x), bool)
+    for width in np.unique(narrow):  # the narrower of two vectors decides; the wider is folded to it
+        pairs = np.flatnonzero(narrow == width)
+        used = np.unique(np.concatenate([x[pairs], y[pairs]]))
+        place = np.zeros(len(cell), np.int64)
+        place[used] = np.arange(len(used))
+        folded = np.stack([counts[k].reshape(width, -1).sum(axis=1, dtype=np.int16) for k in used])
+        step = max(1, COMPARED // int(width))
+        for some in (pairs[k : k + step] for k in range(0, len(pairs), step)):
+            far = np.abs(folded[place[x[some]]] - folded[place[y[some]]]).sum(axis=1, dtype=np.int64)
+            near[some] = far <= (size[x[some]] + size[y[some]]) * ((1 - similarity) / (1 + similarity)) + 1e-6
+    return pd.DataFrame({"src": node[x[near]].astype(np.int64), "dst": node[y[near]].astype(np.int64)})
+
+
+def _earlier(cells: pd.Series, ats: pd.Series, at: np.ndarray) -> np.ndarray:
+    """A row for each node, a column for each large cell that stands before this one in a node's prefix; 1 where it has it."""
+    sizes = np.fromiter(map(len, cells), np.int64, len(cells))
+    owner = np.repeat(np.arange(len(cells)), sizes)
+    names, column = np.unique(np.concatenate([np.zeros(0, np.int64), *cells]), return_inverse=True)
+    before = np.concatenate([np.zeros(0, np.int64), *ats]) < at[owner]
+    met = np.zeros((len(cells), max(1, len(names))), np.float32)
+    met[owner[before], column[before]] = 1
+    return met[:, met.any(axis=0)] if before.any() else met[:, :1]
+
+
+def _large_cells(rows: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """``rows(key, node, size, at, group, n)`` of large cells -> ``(src, dst)``.
+
+    Within a cell the nodes of its largest group never meet each other: the others, in blocks of about
+    BLOCK_NODES, meet each other and that group's blocks. Each pair of blocks is a task's work, and a pair of nodes is compared
+    in the first cell they share.
+    """
+    ship(rows.sparkSession)
+    mine = rows.groupBy("node").agg(F.collect_list("at").alias("ats"), F.collect_list("key").alias("cells"))  # no more than a prefix has
+    sizes = rows.groupBy("key", "group").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "group")).alias("top"), F.sum("c").alias("all"))
+    blocks = lambda c: F.ceil(c / BLOCK_NODES).cast("long")
+    sizes = sizes.select("key", F.col("top.group").alias("top"), blocks(F.col("all") - F.col("top.c")).alias("others"), blocks(F.col("top.c")).alias("tops"))
+    dealt = rows.join(sizes, "key").join(mine, "node").join(nodes.select("node", "segments"), "node")
+    is_top, draw = F.col("group") == F.col("top"), F.pmod(F.xxhash64("node"), F.when(F.col("group") == F.col("top"), F.col("tops")).otherwise(F.col("others")))
+    dealt = dealt.withColumn("block", F.when(is_top, F.col("others") + draw).otherwise(draw))  # the largest group's blocks come last
+    met = F.when(is_top, F.sequence(F.lit(0).cast("long"), F.col("others") - 1)).otherwise(F.sequence(F.lit(0).cast("long"), F.col("others") + F.col("tops") - 1))
+    dealt = dealt.withColumn("other", F.explode(met))
+    dealt = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "group", "size", "at", "segments", "ats", "cells")
+    return dealt.groupBy("key", "i", "j").applyInPandas(lambda cell: _compare(cell, similarity), "src long, dst long")
 
 
 def similar_links(nodes: DataFrame, texts: DataFrame, similarity: float = SIMILAR) -> DataFrame:
-    """``nodes(node, size, prefix)`` -> ``(src, dst)``: edges that connect exactly what chains of similar pairs connect.
-
-    Nodes that share a shingle of their prefixes meet in its bucket; every similar pair shares one. First
-    each meets the least node of its buckets only, so that a large group of near copies is connected
-    without its pairs. Then all members of a bucket that aren't connected yet meet each other.
+    """``nodes(node, k1, k2, size, prefix, segments)`` -> ``(src, dst)``: edges that connect exactly what chains of
+    similar pairs connect. The last eight bits of ``node`` are ``more_keys(size)``.
+
+    The fingerprint of a set is the set itself, as a bit vector over all hashes: sets of similarity s differ in
+    at most (1 - s) / (1 + s) of their bits, so such a pair agrees on bits among the first of each, in an
+    order that puts rare ones first. Those bits are the cells of the grid. Two that meet in a cell are
+    compared by the Manhattan distance of their segment popcounts, a lower bound of the bits that differ, and
+    what that leaves is verified on the sets.
+
+    Pairs of small cells are counted first, as similar ones share several. In a larger cell each node
+    meets one leader only, so that a large group of near copies is connected without its pairs. Then all
+    nodes of a cell that aren't connected yet meet each other.
     """
     # Every node is dealt many times, so what is dealt is narrow: place and size share a long.
     dealt = nodes.select("node", "size", F.posexplode("prefix").alias("at", "key"))
     dealt = dealt.select("key", "node", F.shiftleft(F.col("size"), 32).bitwiseOR(F.col("at").cast("long")).alias("place"))
-    shared = dealt.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("low")).where("n > 1")
-    members = dealt.join(shared.hint("shuffle_hash"), "key")
+    shared = dealt.groupBy("key").agg(F.count("*").alias("n"), F.max("node").alias("src"), F.min("node").alias("dst")).where("n > 1")
+    shared = materialize(shared, "cells")
+    more = materialize(shared.where("n > 2").select("key", "n"), "larger")
     size, at = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF))
-    members = materialize(members.select("key", "node", size.alias("size"), at.alias("at"), "low"), "members")
-
-    need = (F.col("a.size") + F.col("b.size")) * F.lit(similarity / (1 + similarity)) - F.lit(1e-6)
-    after = F.least(F.col("a.size") - F.col("a.at"), F.col("b.size") - F.col("b.at"))
-    near = F.least("a.at", "b.at") + after >= need  # what precedes a shared shingle, it and what follows
-    a, b = members.where("node = low").alias("a"), members.where("node <> low").alias("b")
-    star = a.join(b, (F.col("a.key") == F.col("b.key")) & near).select(F.col("b.node").alias("src"), F.col("a.node").alias("dst"))
-    first = _verified(materialize(star.distinct(), "star"), texts, similarity)
+    members = dealt.join(_small(more), "key")
+    members = materialize(members.select("key", "node", size.alias("size"), at.alias("at"), "n"), "members")
+    small, large = members.where(F.col("n") <= FEW), members.where(F.col("n") > FEW)
+
+    met = shared.where("n = 2").select("src", "dst").unionByName(_within_cells(small, False, similarity)).groupBy("src", "dst").agg(F.count("*").alias("k"))
+    least = F.least(F.col("src").bitwiseAND(F.lit(255)), F.col("dst").bitwiseAND(F.lit(255))) + 1
+    pairs = met.where(F.col("k") >= least).select("src", "dst")
+    # The node that shares the most cells has the fewest changes of its own, so that most copies are similar to it.
+    large = materialize(large.join(large.groupBy("node").agg(F.count("*").alias("held")), "node"), "large")
+    leads = large.groupBy("key").agg(F.max(F.struct("held", "node", "size", "at")).alias("lead"))
+    star = large.join(leads, "key").where((F.col("node") != F.col("lead.node")) & _near(F.col("size"), F.col("at"), F.col("lead.size"), F.col("lead.at"), similarity))
+    pairs = pairs.unionByName(star.select(F.col("node").alias("src"), F.col("lead.node").alias("dst"))).distinct()
+    first = _verified(pairs, nodes, texts, similarity)
 
     groups = connected_components(first)
-    members = members.drop("low").join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
-    members = materialize(members, "grouped")
-    mixed = members.groupBy("key").agg(F.count("*").alias("n"), F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y")
-    salts = F.ceil(F.col("n") / BUCKET)
-    open_ = materialize(members.join(mixed.select("key", salts.cast("long").alias("salts")), "key"), "open")
-    a = open_.withColumn("salt", F.pmod(F.xxhash64("node"), "salts")).alias("a")
-    b = open_.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).alias("b")
-    meet = (F.col("a.key") == F.col("b.key")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.node") > F.col("b.node")) & (F.col("a.group") != F.col("b.group"))
-    met = a.join(b, meet & near).groupBy(F.col("a.node").alias("src"), F.col("b.node").alias("dst"))
-    met = met.agg(F.count("*").alias("k"), F.max("a.at").alias("i"), F.max("b.at").alias("j"), F.max("a.size").alias("m"), F.max("b.size").alias("n"))
-    # Of all shared places of the prefixes that can matter, the last ones leave no more than the shorter rest.
-    least = (F.col("m") + F.col("n")) * F.lit(similarity / (1 + similarity)) - F.lit(1e-6)
-    pairs = met.where(F.col("k") + F.least(F.col("m") - F.col("i"), F.col("n") - F.col("j")) - 1 >= least).select("src", "dst")
-    return first.unionByName(_verified(materialize(pairs, "pairs"), texts, similarity))
+    group = F.coalesce("component", "node")
+    grouped = large.drop("held").join(groups, "node", "left").withColumn("group", group).drop("component")
+    mixed = grouped.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("key")
+    grouped = materialize(grouped.join(mixed, "key"), "open")
+    pairs = _within_cells(grouped.where(F.col("n") <= OPEN), True, similarity).unionByName(_large_cells(grouped.where(F.col("n") > OPEN), nodes, similarity))
+    second = _verified(pairs.distinct(), nodes, texts, similarity)
+    discard(shared, more, members, large, grouped)
+    return first.unionByName(second)
 
 
 def similar_documents(docs: DataFrame, doc="doc_id", text="text", similarity: float = SIMILAR) -> DataFrame:
-    """``(doc, hi, lo, component)``: ``component`` is the smallest id that chains of similar documents reach.
+    """``(doc, k1, k2, hi, lo, root, component)``, a row for each row of ``docs``: ``component`` is the smallest id
+    that chains of similar documents reach, and ``root`` numbers the component.
 
-    Documents are similar if their five-word shingle sets are equal or have a Jaccard similarity of
-    ``similarity`` or more; every such pair is found. Ids must be whole numbers; rows with one id are one
-    document, compared by its least text, and null ids link by equal sets only.
+    Documents are similar if their five-word shingle sets are equal (null, empty and blank texts have the
+    empty one) or have a Jaccard similarity of ``similarity`` or more; every such pair is found. Every
+    row is a document, so rows with one id may lie in different components; ids may be of any type that
+    has an order, and null ones are never the smallest: a component without any other has a null one.
     """
-    prints = materialize(set_prints(docs, doc, text, similarity), "prints")
-    nodes = materialize(prints.groupBy("hi", "lo").agg(F.min("doc").alias("node")), "nodes")
-    least = nodes.where("node is not null")
-    named = prints.join(least, (prints["hi"] == least["hi"]) & (prints["lo"] == least["lo"]) & (prints["doc"] == least["node"]), "left_semi")
-    named = named.select(F.col("doc").cast("long").alias("node"), "size", "prefix")
-    texts = needed(docs, doc, text).toDF("node", "t").withColumn("node", F.col("node").cast("long"))
-    if least.groupBy("node").count().where("count > 1").limit(1).count():
-        texts = materialize(texts.where("node is not null").groupBy("node").agg(F.min("t").alias("t")), "texts")
-        named = materialize(set_prints(texts, "node", "t", similarity), "named").select(F.col("doc").alias("node"), "size", "prefix")
-    groups = connected_components(similar_links(named, texts, similarity)).withColumnsRenamed({"node": "id"})
-    found = nodes.join(groups, F.col("node").cast("long") == F.col("id"), "left").select("hi", "lo", F.coalesce(F.col("component").cast(prints.schema["doc"].dataType), F.col("node")).alias("component"))
-    return prints.select("doc", "hi", "lo").join(materialize(found, "found"), ["hi", "lo"]).select("doc", "hi", "lo", "component")
+    spare_bits = F.least(F.lit(255), F.floor(F.col("size") / EXTRA)).cast("long")  # see more_keys
+    prints = set_prints(docs, doc, text, similarity).withColumn("row", F.shiftleft(F.monotonically_increasing_id(), 8).bitwiseOR(spare_bits))
+    prints = materialize(prints, "prints")  # numbered once, when it is written
+    sets = prints.groupBy("hi", "lo").agg(F.min("row").alias("node"), F.min("doc").alias("least"))
+    sets = materialize(sets, "nodes")
+    spare = prints.select("row", "hi", "lo").join(sets, ["hi", "lo"]).where("row <> node").select("row")
+    spare = materialize(spare, "spare")
+    nodes = prints.join(_small(spare), "row", "left_anti")
+    nodes = nodes.withColumnRenamed("row", "node").select("node", "k1", "k2", "size", "prefix", "segments")
+    d, t = F.col(f"`{doc}`"), F.col(f"`{text}`")
+    texts = needed(docs, *dict.fromkeys((doc, text))).select(*_row_key(d, t), t.alias("t"))
+    groups = connected_components(similar_links(nodes, texts, similarity)).withColumnRenamed("component", "root")
+    sets = sets.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sets = materialize(sets.select("hi", "lo", "root", "least"), "classes")
+    named = sets.groupBy("root").agg(F.min("least").alias("component"))
+    found = sets.select("hi", "lo", "root").join(named, "root")
+    return prints.select("doc", "k1", "k2", "hi", "lo").join(found, ["hi", "lo"]).select("doc", "k1", "k2", "hi", "lo", "root", "component")
