@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from siltmill.functions.text import first_truthy, strip
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row, however often and in whatever branches it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def parsed(text: Column) -> Column:
-    """VARIANT, or null where ``text`` isn't JSON."""
-    return F.try_parse_json(text)
+    """VARIANT, or null where ``text`` isn't JSON as a whole.
+
+    Spark's parser stops behind the first value, whatever follows. So the text is parsed as the first of a list
+    of two, whose second is the text's hash; without that one, the list ended within the text or didn't end.
+    """
+    mark = F.xxhash64(text)
+    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]")))
+    return once(pair, lambda p: F.when(F.try_variant_get(p, "$[1]", "bigint") == mark, F.variant_get(p, "$[0]", "variant")))
 
 
 def kind(v: Column) -> Column:
@@ -80,15 +93,16 @@ def row_type(text: Column) -> Column:
 
 def signature(text: Column, by: str = "auto") -> Column:
     """What makes two rows the same: the first body field that isn't empty, the id, or the whole row."""
-    v = parsed(text)
+    return once(parsed(text), lambda v: signature_of(v, text, by))
+
+
+def signature_of(v: Column, text: Column, by: str = "auto") -> Column:
+    """``signature`` of a text whose ``parsed`` is at hand."""
     raw = F.coalesce(F.to_json(v), text)
     if by == "id":
         return F.coalesce(first_truthy(field(v, "$.id")), F.sha1(raw))
-    bodies = []
-    for name in ("messages", "prompt", "conversations", "text", "query"):
-        got = F.get_json_object(text, f"$.{name}")
-        full = got.isNotNull() & ~got.isin("", "[]", "{}", "0", "false")
-        bodies.append(F.when(full, F.concat(F.lit(name + ":"), F.coalesce(canonical(got), got))))
+    full = lambda c: once(c, lambda x: F.when(~x.isin("null", '""', "[]", "{}"), x))
+    bodies = [F.concat(F.lit(name + ":"), full(F.to_json(F.try_variant_get(v, f"$.{name}", "variant")))) for name in ("messages", "prompt", "conversations", "text", "query")]
     return F.sha1(F.coalesce(*bodies, raw))
 
 

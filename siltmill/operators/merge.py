@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltmill.functions.jsonx import signature
+from siltmill.functions.jsonx import once, parsed, signature_of
 from siltmill.functions.text import or_default
 from siltmill.scratch import materialize
 
@@ -43,13 +43,14 @@ def merge_tasks(sources: list[DataFrame], raw: str = "raw", order: str = "row_id
     """
     if dedup_by not in ("auto", "id", "none"):
         raise ValueError(f"unknown dedup_by {dedup_by}")
-    rows = _signed(tagged([s.select(order, raw) for s in sources]), raw, dedup_by, F.concat_ws(":", "src", order))
+    # Written, so that each line is parsed once and what marks it reads the signatures alone.
+    rows = materialize(_signed(tagged([s.select(order, raw) for s in sources]), raw, dedup_by, F.concat_ws(":", "src", order)), "signed")
     seen = None
     if existing is not None and dedup_by != "none":
         seen = _signed(existing.select(raw), raw, dedup_by).where("valid").select("signature").distinct()
     if max_rows is None:
         return _marked(rows, order, seen)
-    rows, parts = materialize(rows, "signed"), []
+    parts = []
     for src in range(len(sources)):
         part = materialize(_marked(rows.where(F.col("src") == src), order, seen), "source")
         last = part.where(F.col("written") & (F.col(order) >= max_rows - 1)).agg(F.min(order)).first()[0]
@@ -62,10 +63,10 @@ def merge_tasks(sources: list[DataFrame], raw: str = "raw", order: str = "row_id
 
 
 def _signed(rows: DataFrame, raw: str, dedup_by: str, alone: Column | None = None) -> DataFrame:
-    kind = F.schema_of_variant(F.try_parse_json(raw))
-    rows = rows.withColumn("valid", F.coalesce(kind != "VOID", F.lit(False)))
-    sig = signature(F.col(raw), dedup_by) if dedup_by != "none" else alone
-    return rows.withColumn("signature", F.when(F.col("valid"), sig))
+    sig = lambda v: signature_of(v, F.col(raw), dedup_by) if dedup_by != "none" else alone
+    # A line is parsed once; without a signature it isn't valid.
+    rows = rows.withColumn("signature", once(parsed(F.col(raw)), lambda v: F.when(v.isNotNull() & ~F.is_variant_null(v), sig(v))))
+    return rows.withColumn("valid", F.col("signature").isNotNull())
 
 
 def _marked(rows: DataFrame, order: str, seen: DataFrame | None) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltmill.functions.jsonx import parsed
 from siltmill.functions.text import strip
 
 
@@ -36,7 +37,7 @@ def numbered(rows: DataFrame, by: str = "row_idx") -> DataFrame:
 
 def classify(rows: DataFrame, raw: str = "raw") -> DataFrame:
     """``rows`` with ``status``: blank, invalid (no JSON), other (JSON but no object) or object."""
-    v = F.try_parse_json(raw)
+    v = parsed(F.col(raw))
     kind = F.schema_of_variant(v)
     status = F.when(strip(F.col(raw)) == "", "blank").when(v.isNull(), "invalid").when(kind.startswith("OBJECT"), "object").otherwise("other")
     return rows.withColumn("status", status)
@@ -67,7 +68,7 @@ def read_lenient(spark: SparkSession, path: str, schema: str, max_rows: int | No
 
 def read_any(spark: SparkSession, path: str) -> DataFrame:
     """``(row_idx, raw, value variant)`` of all lines that aren't blank; null where a line isn't JSON."""
-    return lines(spark, path).where(strip(F.col("raw")) != "").withColumn("value", F.try_parse_json("raw"))
+    return lines(spark, path).where(strip(F.col("raw")) != "").withColumn("value", parsed(F.col("raw")))
 
 
 def page(spark: SparkSession, path: str, offset: int, limit: int, most: int = 40_000) -> DataFrame:
@@ -84,7 +85,7 @@ def processed_ids(spark: SparkSession, path: str) -> DataFrame:
     """Distinct ids of an output file; bad lines and empty ids are ignored, a missing file has none."""
     if not exists(spark, path):
         return spark.createDataFrame([], "id string")
-    ids = lines(spark, path).select(F.get_json_object(F.when(F.try_parse_json("raw").isNotNull(), F.col("raw")), "$.id").alias("id"))
+    ids = lines(spark, path).select(F.get_json_object(F.when(parsed(F.col("raw")).isNotNull(), F.col("raw")), "$.id").alias("id"))
     return ids.where("id is not null and id <> '' and id <> '0' and id <> 'false'").distinct()
 
 

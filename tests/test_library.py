@@ -189,6 +189,18 @@ def test_merge_by_signature(spark):
     assert report == {0: (4, 3, 0, 1), 1: (4, 2, 2, 0)}
 
 
+def test_merge_compares_whole_texts(spark):
+    """A text that starts with a number, or a line with more behind its first value: Spark's parser stops there."""
+    texts = ["4389058605216978 one", "4389058605216978 two", "4389058605216978", "0", "0", "false"]
+    lines = [json.dumps({"id": i, "text": t}) for i, t in enumerate(texts)] + ['{"text": "z"} and more', '1] junk, "s"]', '{"text": 0}']
+    rows = spark.createDataFrame(list(enumerate(lines)), "row_idx int, raw string")
+    merged = merge.merge_tasks([rows]).collect()
+    assert sorted(r.row_idx for r in merged if r.written) == [0, 1, 2, 3, 5, 8] and sorted(r.row_idx for r in merged if not r.valid) == [6, 7]
+    report = merge.merge_report(merge.merge_tasks([rows])).first()
+    assert (report.read, report.written, report.duplicated, report.invalid) == (9, 6, 1, 2)
+    assert [r.status for r in jsonl.classify(rows).orderBy("row_idx").collect()][5:] == ["object", "invalid", "invalid", "object"]
+
+
 def test_fixed_metadata(spark):
     raw = lit('{"step": "3", "include_reasoning": "false", "tool_names": ["a", "b"], "planner_overridden": 0, "intent": null, "source": {"a": 1}}')
     got = value(spark, merge.fixed_metadata(raw, "executor_answer"))
