@@ -2,17 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from siltmill.functions.text import first_truthy, strip
-
-
-def once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once a row, however often and in whatever branches it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+from siltmill.functions.text import first_truthy, once, strip
 
 
 def parsed(text: Column) -> Column:

@@ -9,13 +9,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from siltmill.functions.text import compose_reasoning, strip, truncate
+from siltmill.functions.text import compose_reasoning, once, strip, truncate
 
 CALL = "struct<id:string,name:string,arguments:string>"
 OBSERVATION = "struct<tool_call_id:string,name:string,content:string,error:boolean>"
 OUTPUT = f"struct<intent:string,action:string,ask:string,finish_reason:string,tool_calls:array<{CALL}>>"
 RAW = "struct<reasoning_content:string,raw_content:string,content:string>"
 STEP = f"struct<step:int,planner_output:{OUTPUT},planner_raw_output:{RAW},planner_overridden:boolean,observations:array<{OBSERVATION}>>"
+# A step's fields as JSON text: one parse a step instead of one a field.
+FIELDS = (
+    "struct<step:string,planner_output:struct<intent:string,action:string,ask:string,finish_reason:string,tool_calls:string,tool_call:string>,"
+    "planner_raw_output:string,planner_overridden:string,observations:string,observation:string>"
+)
 MESSAGE = "struct<role:string,content:string,tool_calls:array<struct<name:string,arguments:string>>>"
 
 # Fixed values.
@@ -29,8 +34,8 @@ def plural(many: Column, one: Column, item: str) -> Column:
     """An array of objects from JSON text that holds an array or a single object; if that is empty, the older
     single field. Elements that aren't objects are dropped."""
     none = F.array().cast("array<string>")
-    listed = F.coalesce(F.when(many.startswith("["), F.from_json(many, "array<string>")).when(many.startswith("{"), F.array(many)), none)
-    items = F.when(F.size(listed) > 0, listed).when(one.startswith("{"), F.array(one)).otherwise(none)
+    listed = once(many, lambda m: F.coalesce(F.when(m.startswith("["), F.from_json(m, "array<string>")).when(m.startswith("{"), F.array(m)), none))
+    items = once(listed, lambda m: F.when(F.size(m) > 0, m).when(one.startswith("{"), F.array(one)).otherwise(none))
     return F.transform(F.filter(items, lambda x: x.startswith("{")), lambda x: F.from_json(x, item))
 
 
@@ -38,20 +43,18 @@ def read_steps(trajectory: Column) -> Column:
     """array<STEP> from the JSON text of a trajectory; elements that aren't objects are dropped."""
     items = F.array_compact(F.transform(F.from_json(trajectory, "array<string>"), lambda s: F.when(s.startswith("{"), s)))
 
-    def step(s: Column) -> Column:
-        at = lambda p: F.get_json_object(s, p)
+    def step(w: Column) -> Column:
+        out = w["planner_output"]
         output = F.struct(
-            at("$.planner_output.intent").alias("intent"), at("$.planner_output.action").alias("action"), at("$.planner_output.ask").alias("ask"),
-            at("$.planner_output.finish_reason").alias("finish_reason"),
-            plural(at("$.planner_output.tool_calls"), at("$.planner_output.tool_call"), CALL).alias("tool_calls"),
+            *(out[k].alias(k) for k in ("intent", "action", "ask", "finish_reason")), plural(out["tool_calls"], out["tool_call"], CALL).alias("tool_calls"),
         )
         return F.struct(
-            at("$.step").try_cast("int").alias("step"), output.alias("planner_output"), F.from_json(at("$.planner_raw_output"), RAW).alias("planner_raw_output"),
-            F.coalesce(at("$.planner_overridden").try_cast("boolean"), F.lit(False)).alias("planner_overridden"),
-            plural(at("$.observations"), at("$.observation"), OBSERVATION).alias("observations"),
+            w["step"].try_cast("int").alias("step"), output.alias("planner_output"), F.from_json(w["planner_raw_output"], RAW).alias("planner_raw_output"),
+            F.coalesce(w["planner_overridden"].try_cast("boolean"), F.lit(False)).alias("planner_overridden"),
+            plural(w["observations"], w["observation"], OBSERVATION).alias("observations"),
         )
 
-    return F.transform(items, step)
+    return F.transform(F.transform(items, lambda s: F.from_json(s, FIELDS)), step)
 
 
 def has_forbidden_call(output: Column, names=FORBIDDEN) -> Column:
@@ -116,14 +119,13 @@ def step_messages(step: Column, reasoning: bool = True) -> Column:
 def last_intent(steps: Column, resolve, expected: Column | None = None, default: str | None = None) -> Column:
     """The intent of the last step that has a known one, else the expected one, else ``default``."""
     known = F.filter(F.transform(steps, lambda s: resolve(s["planner_output"]["intent"])), lambda i: i.isNotNull())
-    found = F.when(F.size(known) > 0, F.element_at(known, -1))
-    return F.coalesce(found, *([resolve(expected)] if expected is not None else []), F.lit(default))
+    return F.coalesce(F.try_element_at(known, F.lit(-1)), *([resolve(expected)] if expected is not None else []), F.lit(default))
 
 
 def last_ask(steps: Column) -> Column:
     asks = F.transform(F.filter(steps, lambda s: s["planner_output"]["action"] == "ask_clarification"), lambda s: strip(F.coalesce(s["planner_output"]["ask"], F.lit(""))))
     asks = F.filter(asks, lambda a: a != "")
-    return F.when(F.size(asks) > 0, F.element_at(asks, -1))
+    return F.try_element_at(asks, F.lit(-1))
 
 
 def _observations(steps: Column) -> Column:
@@ -145,7 +147,7 @@ def external_info(steps: Column, most: int = 6000, errors: bool = True) -> Colum
         return F.concat(F.lit("【"), number, F.lit(". "), name, F.when(failed(o), FAILED).otherwise(""), F.lit("】\n"), body(o))
 
     text = strip(F.array_join(F.transform(kept, chunk), "\n\n"))
-    return truncate(F.when(text != "", text).otherwise(NO_INFO), most)
+    return truncate(once(text, lambda t: F.when(t != "", t).otherwise(NO_INFO)), most)
 
 
 def tool_names(steps: Column) -> Column:

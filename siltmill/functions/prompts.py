@@ -10,7 +10,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.functions.lookups import Domain, hinted_intent, resolve
-from siltmill.functions.text import history_context, strip, truncate
+from siltmill.functions.text import history_context, once, strip, truncate
 from siltmill.ship import ship
 
 # Section titles and stand-ins.
@@ -27,15 +27,13 @@ def _text(c: Column) -> Column:
 
 
 def _or(c: Column, default: str) -> Column:
-    t = _text(c)
-    return F.when(t != "", t).otherwise(default)
+    return once(_text(c), lambda t: F.when(t != "", t).otherwise(default))
 
 
 def section(title: str, c: Column, always: bool = False) -> Column:
     """Title and text; null, so left out of a join of sections, if there is no text."""
-    t = _text(c)
-    made = F.concat(F.lit(title + "\n"), t)
-    return made if always else F.when(t != "", made)
+    made = lambda t: F.concat(F.lit(title + "\n"), t)
+    return made(_text(c)) if always else once(_text(c), lambda t: F.when(t != "", made(t)))
 
 
 def planner_content(query: Column, reference_intent: Column, compressed: Column, recent: Column) -> Column:

@@ -5,6 +5,8 @@ Every function maps Columns to a Column, so it stays inside the plan; none is a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,6 +34,11 @@ INTENT_PATTERNS = (
 )
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row, however often and in whatever branches it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Without white space of any script at either end; Spark's own trim takes spaces only."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -48,7 +55,7 @@ def or_default(c: Column, default: str | Column = "") -> Column:
 
 def first_truthy(*columns: Column) -> Column:
     """The first that is neither null nor empty, else null."""
-    return F.coalesce(*(F.when(c != "", c) for c in columns))
+    return F.coalesce(*(once(c, lambda v: F.when(v != "", v)) for c in columns))
 
 
 def normalize(c: Column) -> Column:
@@ -89,9 +96,12 @@ def split_reasoning(text: Column, reasoning: Column | None = None) -> tuple[Colu
 
 def compose_reasoning(reasoning: Column, content: Column) -> Column:
     """Reasoning in a think block, then the content; either may be blank."""
-    r, c = strip(F.coalesce(reasoning, F.lit(""))), strip(F.coalesce(content, F.lit("")))
-    block = F.concat(F.lit("<think>\n"), r, F.lit("\n</think>"))
-    return F.when((r != "") & (c != ""), F.concat(block, F.lit("\n"), c)).when(r != "", block).otherwise(c)
+    def join(r: Column, c: Column) -> Column:
+        block = F.concat(F.lit("<think>\n"), r, F.lit("\n</think>"))
+        return F.when((r != "") & (c != ""), F.concat(block, F.lit("\n"), c)).when(r != "", block).otherwise(c)
+
+    both = F.struct(strip(F.coalesce(reasoning, F.lit(""))).alias("r"), strip(F.coalesce(content, F.lit(""))).alias("c"))
+    return once(both, lambda s: join(s["r"], s["c"]))
 
 
 def text_length(c: Column) -> Column:
@@ -144,7 +154,7 @@ def infer_intent(prompt: Column, intents: list[str]) -> Column:
 
 
 def truncate(c: Column, most: int, mark: str = "……") -> Column:
-    return F.when((F.length(c) > most) & F.lit(most > 0), F.concat(rstrip(F.left(c, F.lit(most))), F.lit(mark))).otherwise(c)
+    return once(c, lambda t: F.when((F.length(t) > most) & F.lit(most > 0), F.concat(rstrip(F.left(t, F.lit(most))), F.lit(mark))).otherwise(t))
 
 
 def safe_path_part(c: Column, default: str = "default") -> Column:

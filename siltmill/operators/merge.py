@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltmill.functions.jsonx import once, parsed, signature_of
-from siltmill.functions.text import or_default
+from siltmill.functions.jsonx import parsed, signature_of
+from siltmill.functions.text import once, or_default
 from siltmill.scratch import materialize
 
 # The scalar metadata of a merged row with its defaults, in order.

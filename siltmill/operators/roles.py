@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from siltmill.functions import jsonx, nested, prompts, text
 from siltmill.functions.lookups import Domain, resolve, template
-from siltmill.functions.text import compose_reasoning, first_truthy, strip
+from siltmill.functions.text import compose_reasoning, first_truthy, once, strip
 from siltmill.operators import review, steps, teacher
 from siltmill.scratch import materialize
 from siltmill.ship import ship
@@ -35,8 +35,7 @@ CHAT = "array<struct<role:string,content:string>>"
 
 def truthy(raw: Column, name: str) -> Column:
     """A field's text; null if it is absent, null, empty, zero (as a number or as text) or false."""
-    value = F.get_json_object(raw, f"$.{name}")
-    return F.when(~value.isin("", "0", "false", "[]", "{}"), value)
+    return once(F.get_json_object(raw, f"$.{name}"), lambda v: F.when(~v.isin("", "0", "false", "[]", "{}"), v))
 
 
 def row_id(raw: Column, line_no: Column, prefix: str) -> Column:
@@ -76,7 +75,7 @@ def rendered(raw: Column, system: Column | None = None, model_template: Callable
 def _objects(value: Column) -> Column:
     """JSON texts of the objects in a list, or of a single object."""
     none = F.array().cast("array<string>")
-    listed = F.when(value.startswith("["), F.from_json(value, "array<string>")).when(value.startswith("{"), F.array(value))
+    listed = once(value, lambda v: F.when(v.startswith("["), F.from_json(v, "array<string>")).when(v.startswith("{"), F.array(v)))
     return F.filter(F.coalesce(listed, none), lambda x: x.startswith("{"))
 
 
@@ -86,8 +85,8 @@ def recent_history(raw: Column) -> Column:
     said = lambda t, keys: strip(F.coalesce(first_truthy(*(F.get_json_object(t, f"$.{k}") for k in keys)), F.lit("")))
 
     def lines(t: Column) -> Column:
-        u, a = said(t, USER_KEYS), said(t, ASSISTANT_KEYS)
-        return F.array_compact(F.array(F.when(u != "", F.concat(F.lit(text.USER_LABEL), u)), F.when(a != "", F.concat(F.lit(text.ASSISTANT_LABEL), a))))
+        labelled = lambda keys, label: once(said(t, keys), lambda s: F.when(s != "", F.concat(F.lit(label), s)))
+        return F.array_compact(F.array(labelled(USER_KEYS, text.USER_LABEL), labelled(ASSISTANT_KEYS, text.ASSISTANT_LABEL)))
 
     return first_truthy(strip(F.array_join(F.flatten(F.transform(turns, lines)), "\n")))
 
@@ -100,10 +99,9 @@ def fixed_tools(raw: Column) -> Column:
     """The first of the fields that names a tool."""
     found = []
     for name in TOOL_FIELDS:
-        value = F.get_json_object(raw, f"$.{name}")
-        listed = F.when(value.startswith("["), F.from_json(value, "array<string>")).otherwise(F.array(value))
+        listed = once(F.get_json_object(raw, f"$.{name}"), lambda v: F.when(v.startswith("["), F.from_json(v, "array<string>")).otherwise(F.array(v)))
         names = F.filter(F.transform(listed, lambda n: strip(F.coalesce(n, F.lit("")))), lambda n: n != "")
-        found.append(F.when(F.size(names) > 0, names))
+        found.append(once(names, lambda n: F.when(F.size(n) > 0, n)))
     return F.coalesce(*found, F.array().cast("array<string>"))
 
 
@@ -131,7 +129,7 @@ def executor_requests(rows: DataFrame, domain: Domain, system: str, most: int =
     )
     said = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
     made = made.withColumns({"file_write_plan": plan, "messages": F.array(said("system", F.lit(system)), said("user", content))})
-    return made.withColumn("request", F.to_json(F.struct("messages")))
+    return made.withColumn("request", F.to_json(F.struct("messages"))).drop("steps")  # the answer's row needs no steps
 
 
 def executor_rows(answered: DataFrame, domain: Domain, reasoning: bool = True, most: int = 6000, errors: bool = True) -> DataFrame:

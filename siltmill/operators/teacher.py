@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -49,13 +50,16 @@ def ask(rows: DataFrame, request: str, teacher: Callable[[dict], dict], retries:
     names = rows.columns
     schema = StructType([*rows.schema.fields, StructField("answer", StringType()), StructField("error", StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Only the request becomes Python objects; nested columns pass by.
         for b in batches:
-            found = [call(teacher, json.loads(r), retries) for r in b[request]]
-            yield b[names].assign(answer=[None if a is None else json.dumps(a, ensure_ascii=False) for a, _ in found], error=[e for _, e in found])
+            found = [call(teacher, json.loads(r), retries) for r in b.column(names.index(request)).to_pylist()]
+            made = [[None if a is None else json.dumps(a, ensure_ascii=False) for a, _ in found], [e for _, e in found]]
+            fields = [*b.schema, pa.field("answer", pa.string()), pa.field("error", pa.string())]
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(m, pa.string()) for m in made)], schema=pa.schema(fields))
 
     ship(rows.sparkSession)
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def ask_until(rows: DataFrame, request: Callable[[int], Column], teacher: Callable[[dict], dict], reason: Column, attempts: int = 3, retries: int = 5) -> tuple[DataFrame, dict[str, int]]:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltmill.functions import jsonx, lookups, nested, numbers, text
-from siltmill.operators import dedup, merge, review, sampling, sessions, steps
+from siltmill.operators import dedup, merge, review, roles, sampling, sessions, steps
 from siltmill.operators.components import connected_components
 from siltmill.sources import jsonl, sinks
 from siltmill.streaming import incremental
@@ -201,6 +201,15 @@ def test_merge_compares_whole_texts(spark):
     assert [r.status for r in jsonl.classify(rows).orderBy("row_idx").collect()][5:] == ["object", "invalid", "invalid", "object"]
 
 
+def test_executor_requests_read_a_line_few_times(spark):
+    """A plan that repeats what several branches use grew to 162 reads of the line's JSON; steps don't go to a teacher."""
+    raw = '{"id": 1, "user_query": "q", "trajectory": [], "history": {"user": " a ", "answer": "b"}, "tool_names": "t"}'
+    asked = roles.executor_requests(spark.createDataFrame([(0, raw)], "line_no long, raw string"), lookups.HEALTH, "s")
+    assert "steps" not in asked.columns and asked._jdf.queryExecution().optimizedPlan().toString().count("get_json_object") < 60
+    got = asked.first()
+    assert (got.recent_history_text, got.fixed_tool_names, got.intent) == ("用户：a\n助手：b", ["t"], "其他")
+
+
 def test_fixed_metadata(spark):
     raw = lit('{"step": "3", "include_reasoning": "false", "tool_names": ["a", "b"], "planner_overridden": 0, "intent": null, "source": {"a": 1}}')
     got = value(spark, merge.fixed_metadata(raw, "executor_answer"))
