@@ -1,6 +1,7 @@
 """The engine's own operators: golden facts, awkward rows, and every query against its SQL."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,6 +173,36 @@ def test_minhash_tests_pairs_beyond_the_least(spark, monkeypatch):
     assert len(hidden) > 3 and hidden <= found <= met
 
 
+def _alike(grams):
+    names = sorted(grams)
+    return {(a, b) for i, a in enumerate(names) for b in names[i + 1 :] if len(grams[a] & grams[b]) >= 0.9 * len(grams[a] | grams[b])}
+
+
+def _syllables(n=90):
+    """Texts that share most of their trigrams, near copies of some, and copies."""
+    draw = random.Random(4)
+    parts = ["the", "on", "er", "in", "an", "re", "sh", "or", "ent", "ly"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.choice([12, 60, 60, 200, 900]))) for _ in range(n)]
+    texts += [t[: len(t) // 2] + "xq" + t[len(t) // 2 :] for t in texts[::3]] + texts[::10]
+    rows = list(enumerate(texts))
+    least = {}
+    for i, t in rows:
+        least.setdefault(frozenset(t[k : k + 3] for k in range(len(t) - 2)), i)
+    return rows, _alike({i: g for g, i in least.items()})
+
+
+def test_exact_pairs_deal_no_row_for_each_gram(spark, monkeypatch):
+    rows, want = _syllables()
+    held = {}
+    write = dedup.materialize
+    monkeypatch.setattr(dedup, "materialize", lambda df, label="table": (out := write(df, label), held.__setitem__(label, out.count()))[0])
+    monkeypatch.setattr(dedup, "LEAST_IN_BLOCK", 8, raising=False)
+    _, sets = dedup.classes(spark.createDataFrame(rows, "idx long, t string"), "idx", "t")
+    got = dedup.similar_sets(sets).collect()
+    assert len(got) == len(want) > 20 and {(r.left, r.right) for r in got} == want
+    assert max(n for label, n in held.items() if label != "candidates") <= len(rows)
+
+
 # Merges
 
 
