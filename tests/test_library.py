@@ -203,6 +203,21 @@ def test_exact_pairs_deal_no_row_for_each_gram(spark, monkeypatch):
     assert max(n for label, n in held.items() if label != "candidates") <= len(rows)
 
 
+def test_clusters_verify_pairs_once_and_keep_a_forest(spark, monkeypatch):
+    rows, want = _syllables()
+    held = {}
+    write = dedup.materialize
+    monkeypatch.setattr(dedup, "materialize", lambda df, label="table": (out := write(df, label), held.__setitem__(label, out.count()))[0])
+    monkeypatch.setattr(dedup, "LEAST_IN_BLOCK", 8, raising=False)
+    got = {r.idx: r for r in dedup.cluster(spark.createDataFrame(rows, "idx long, t string"), "idx", "t").collect()}
+    root = {r["class"]: r["class"] for r in got.values()}
+    for _ in root:
+        for a, b in want:
+            root[a] = root[b] = min(root[a], root[b])
+    assert all(r.cluster == root[r["class"]] for r in got.values())
+    assert held["links"] < len(want)
+
+
 # Merges
 
 
