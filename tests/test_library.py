@@ -203,6 +203,24 @@ def test_exact_pairs_deal_no_row_for_each_gram(spark, monkeypatch):
     assert max(n for label, n in held.items() if label != "candidates") <= len(rows)
 
 
+def test_minhash_writes_no_table_of_sets(spark, monkeypatch):
+    rows, want = _syllables()
+    rows += [(k, "same id, first " * 9 + rows[k][1][::-1]) for k in range(0, 90, 9)]  # ids repeat with other texts
+    df, held = spark.createDataFrame(rows, "idx long, t string"), []
+    links = dedup.minhash_pairs(dedup.classes(df, "idx", "t")[1], 0.9)
+    root = {i: i for i, _ in rows}
+    for _ in range(len(root)):
+        for r in (pairs := links.collect()) if not _ else pairs:
+            root[r.left] = root[r.right] = min(root[r.left], root[r.right])
+    write = dedup.materialize
+    monkeypatch.setattr(dedup, "materialize", lambda df, label="table": (held.extend(t for _, t in df.dtypes), write(df, label))[1])
+    for most in (dedup.BROADCAST, 0) if hasattr(dedup, "BROADCAST") else (0,):
+        monkeypatch.setattr(dedup, "BROADCAST", most, raising=False)
+        got = dedup.cluster(df, "idx", "t", method="minhash").collect()
+        assert len(got) == len(rows) and all(r.cluster == root[r["class"]] for r in got)
+    assert len({root[i] for i in root}) < len(root) - 10 and "binary" not in held
+
+
 def test_clusters_verify_pairs_once_and_keep_a_forest(spark, monkeypatch):
     rows, want = _syllables()
     held = {}
