@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from siltmill.llm.common import needed, text_batches
 from siltmill.operators.components import connected_components
+from siltmill.operators.dedup import _verify as verify
 from siltmill.scratch import discard, materialize
 from siltmill.ship import ship
 
@@ -186,6 +187,8 @@ SHARE, SAMPLE, COMMON = 10, 1000, 400_000
 #: Nodes of a cell that are compared at once; those of larger cells meet the least of their cell first. Cells that are
 #: open then are compared within arrays up to OPEN nodes, and in blocks of about BLOCK_NODES beyond.
 FEW, OPEN, BLOCK_NODES = 8, 64, 1000
+#: Nodes of a cell, about, in which proposed pairs are verified.
+HELD = 250
 #: Segment counts that are subtracted at a time.
 COMPARED = 1 << 22
 #: Rows that are sent to every executor at most; more are joined by shuffle.
@@ -306,16 +309,6 @@ def set_prints(docs: DataFrame, doc="doc_id", text="text", similarity: float = S
     return rows.mapInPandas(score, f"doc {kind}, k1 long, k2 long, hi long, lo long, size long, prefix array<bigint>, segments binary")
 
 
-def shingle_sets(rows: DataFrame) -> DataFrame:
-    """``rows(node, t)`` -> ``(node, s)``."""
-
-    def collect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"node": b["node"], "s": [shingle_hashes(t) for t in b["t"]]})
-
-    return text_batches(rows).mapInPandas(collect, "node long, s array<bigint>")
-
-
 def _of_ends(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """The ``nodes`` at the ends of ``edges(src, dst)``, as a table of their own."""
     ends = materialize(edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct(), "ends")
@@ -343,18 +336,42 @@ def _within(edges: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     return edges.join(src, "src").join(dst, "dst").where(near("a", "b", most)).select("src", "dst")
 
 
+def _cells_of(edges: DataFrame) -> DataFrame:
+    """``edges(src, dst)`` with ``c, i, j``: the cell where an edge is verified.
+
+    What edges connect is dealt to one cell, so that a text is sent once, however many edges it has; small components share
+    cells of about HELD nodes. A component of more is cut into blocks, each pair of which is a cell.
+    """
+    groups = connected_components(edges)
+    sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / HELD).alias("blocks"))
+    named = groups.join(sizes, "component")
+    several, shared = F.col("blocks") > 1, groups.count() // HELD + 1
+    cell = F.when(several, F.col("component")).otherwise(F.pmod(F.xxhash64("component"), F.lit(shared)))
+    named = materialize(named.select("node", cell.alias("c"), F.pmod(F.xxhash64("node"), "blocks").alias("block")), "dealt")
+    ends = edges.join(_small(named.select(F.col("node").alias("src"), "c", F.col("block").alias("x"))), "src")
+    ends = ends.join(_small(named.select(F.col("node").alias("dst"), F.col("block").alias("y"))), "dst")
+    return ends.select("src", "dst", "c", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"))
+
+
 def _verified(edges: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The ``edges(src, dst)`` between ``nodes(node, k1, k2, size, segments)`` that have the similarity; their
-    sets are made again from ``texts(k1, k2, t)``."""
+    """Of the ``edges(src, dst)`` between ``nodes(node, k1, k2, size, segments)`` that have the similarity, as many as connect
+    what all of a cell connect; their sets are made again from ``texts(k1, k2, t)``, where they meet."""
     edges = materialize(_within(materialize(edges, "proposed"), nodes, similarity), "within")
+    cells = materialize(_cells_of(edges), "where")
     wanted = _of_ends(nodes.select("node", "k1", "k2"), edges)
-    sets = texts.join(_small(wanted), ["k1", "k2"]).groupBy("node").agg(F.min("t").alias("t"))
-    sets = materialize(shingle_sets(sets), "sets")
-    pair = edges.join(sets.select(F.col("node").alias("src"), F.col("s").alias("a")), "src").join(sets.select(F.col("node").alias("dst"), F.col("s").alias("b")), "dst")
-    shared = F.size(F.array_intersect("a", "b"))
-    enough = shared >= F.lit(similarity) * (F.size("a") + F.size("b") - shared) - F.lit(1e-9)
-    found = materialize(pair.where(enough).select("src", "dst"), "similar")
-    discard(sets, wanted, edges)
+    held = texts.join(_small(wanted), ["k1", "k2"]).groupBy("node").agg(F.min("t").alias("t"))
+    asked = materialize(cells.select(F.col("c").alias("p"), F.col("i").alias("q"), F.col("j").alias("r"), F.explode(F.array("src", "dst")).alias("node")).distinct(), "asked")
+    held = held.join(_small(asked), "node")
+
+    def compare(pairs: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        sets = pd.DataFrame({"node": held["node"], "grams": [shingle_hashes(t) for t in held["t"]]})
+        found = verify(pairs.rename(columns={"src": "left", "dst": "right"}), sets, similarity, True)
+        return pd.DataFrame({"src": found["left"], "dst": found["right"]})
+
+    ship(edges.sparkSession)
+    found = cells.groupBy("c", "i", "j").cogroup(held.groupBy("p", "q", "r")).applyInPandas(compare, "src long, dst long")
+    found = materialize(found, "similar")
+    discard(cells, asked, wanted, edges)
     return found
 
 

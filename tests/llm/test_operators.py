@@ -518,6 +518,22 @@ def test_every_isolated_pair_just_over_the_similarity_is_found(spark):
     assert got == {i: i % 60 for i, _ in rows}
 
 
+@pytest.mark.parametrize("held", [4, 250])
+def test_texts_are_dealt_to_cells_and_no_set_is_written(spark, monkeypatch, held):
+    """Chains longer than a cell, whose ends alone aren't similar, and pairs."""
+    rng = np.random.default_rng(8)
+    chain = [[f"c{i}" for i in rng.choice(4000, 300)]]
+    for k in range(24):
+        chain.append([f"n{k}x{p}" if p in (20 + 10 * k, 21 + 10 * k) else w for p, w in enumerate(chain[-1])])
+    rows = [(i, " ".join(t)) for i, t in enumerate(chain)] + [(100 + i, t) for i, t in family(30, 30, 0, 6)]
+    written, write = {}, simhash.materialize
+    monkeypatch.setattr(simhash, "materialize", lambda df, label="table": (written.setdefault(label, []).extend(df.columns), write(df, label))[1])
+    monkeypatch.setattr(simhash, "HELD", held, raising=False)
+    got = {r.doc: r.component for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: 0 if i < 100 else 100 + (i - 100) % 30 for i, _ in rows}
+    assert not any("s" in columns or "t" in columns for columns in written.values()) and "asked" in written
+
+
 def test_equal_prints_are_equal_shingle_sets(spark):
     words = [f"w{i}" for i in range(20)]
     rows = [(0, " ".join(words * 30)), (1, " ".join(words * 45).upper()), (2, " ".join(words * 30 + ["end"])), (3, "ab " * 300 + "cd"), (4, "ab " * 300 + "ef")]
