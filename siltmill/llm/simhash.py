@@ -165,14 +165,15 @@ def keep_one(docs: DataFrame, doc="doc_id", text="text") -> DataFrame:
     chosen = (F.col("r.k1") == F.col("b.k1")) & (F.col("r.k2") == F.col("b.k2"))
     gone = found.alias("r").join(best.alias("b"), "root").where(~chosen).select(F.col("r.k1").alias("__k1"), F.col("r.k2").alias("__k2")).distinct()
     k1, k2 = _row_key(F.col(f"`{doc}`"), F.col(f"`{text}`"))
-    kept = docs.withColumns({"__k1": k1, "__k2": k2}).join(materialize(gone, "gone"), ["__k1", "__k2"], "left_anti")
+    # No text is dealt out for the few that go: see _matched.
+    kept = _matched(docs.withColumns({"__k1": k1, "__k2": k2}), materialize(gone, "gone"), ["__k1", "__k2"], "left_anti")
     again = found.groupBy(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).count().where("count > 1").drop("count")
     again = materialize(again, "repeated")
     if not again.isEmpty():
         every = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
         nth = F.row_number().over(Window.partitionBy("__k1", "__k2").orderBy(every))
-        one = kept.join(again, ["__k1", "__k2"], "left_semi").withColumn("__n", nth).where("__n = 1").drop("__n")
-        kept = kept.join(again, ["__k1", "__k2"], "left_anti").unionByName(one)
+        one = _matched(kept, again, ["__k1", "__k2"], "left_semi").withColumn("__n", nth).where("__n = 1").drop("__n")
+        kept = _matched(kept, again, ["__k1", "__k2"], "left_anti").unionByName(one)
     return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
@@ -193,6 +194,8 @@ HELD = 250
 COMPARED = 1 << 22
 #: Rows that are sent to every executor at most; more are joined by shuffle.
 BROADCAST = 1_000_000
+#: Bits that are sent instead for each of more keys; bits of a row of them; most rows (64 MB), beyond which more rows pass.
+KEY_BITS, MAP_BITS, MOST_MAPS = 16, 1 << 18, 1 << 11
 #: A set's prefix has a key more for every EXTRA of its shingles, and similar sets share so many more.
 EXTRA = 50
 #: Most segments are 2 to this power. Words whose hashes a Python worker remembers.
@@ -312,7 +315,7 @@ def set_prints(docs: DataFrame, doc="doc_id", text="text", similarity: float = S
 def _of_ends(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """The ``nodes`` at the ends of ``edges(src, dst)``, as a table of their own."""
     ends = materialize(edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct(), "ends")
-    return materialize(nodes.join(_small(ends), "node", "left_semi"), "some")
+    return materialize(_matched(nodes, ends, ["node"], "left_semi"), "some")
 
 
 def _small(rows: DataFrame) -> DataFrame:
@@ -320,6 +323,36 @@ def _small(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST else rows
 
 
+def _matched(rows: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Wide ``rows`` joined with a written table whose ``on`` is never null: inner, left_semi or left_anti.
+
+    If it has few rows, it is sent to every executor. Else a bit map of its keys is: rows that it rules out have no match,
+    exactly, and stay where they are. Only the others, with one in KEY_BITS or so of all, are dealt out to meet the keys.
+    """
+    n = keys.count()
+    if n <= BROADCAST:
+        return rows.join(F.broadcast(keys), on, how)
+    maps, held = _bit_maps(keys, on, n)
+    maybe = rows.join(maps, held, "left_semi").join(keys, on, how)
+    return rows.join(maps, held, "left_anti").unionByName(maybe) if how == "left_anti" else maybe
+
+
+def _bit_maps(keys: DataFrame, on: list[str], n: int) -> tuple[DataFrame, Column]:
+    """A bit map of ``n`` keys, cut into rows, to be sent to every executor; the condition that it may hold a key."""
+    hashed, count = F.xxhash64(F.lit(5), *on), min(MOST_MAPS, -(-KEY_BITS * n // MAP_BITS))
+    number, at = F.pmod(hashed, F.lit(count)).cast("long"), F.shiftrightunsigned(hashed, 32).bitwiseAND(F.lit(MAP_BITS - 1)).cast("int")
+
+    def build(held: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(MAP_BITS, np.uint8)
+        bits[held["at"]] = 1
+        return pd.DataFrame({"__map": held["map"].iloc[:1], "__bits": [np.packbits(bits, bitorder="little").view("<i8")]})
+
+    ship(keys.sparkSession)
+    maps = keys.select(number.alias("map"), at.alias("at")).groupBy("map").applyInPandas(build, "__map long, __bits array<bigint>")
+    word, bit = F.shiftright(at, 6), at.bitwiseAND(F.lit(63))
+    return F.broadcast(materialize(maps, "bits")), (number == F.col("__map")) & (F.getbit(F.get("__bits", word), bit) == 1)
+
+
 def _within(edges: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """The ``edges(src, dst)`` that the Manhattan distance of the ends' segment popcounts doesn't rule out."""
     ship(edges.sparkSession)
@@ -359,7 +392,7 @@ def _verified(edges: DataFrame, nodes: DataFrame, texts: DataFrame, similarity:
     edges = materialize(_within(materialize(edges, "proposed"), nodes, similarity), "within")
     cells = materialize(_cells_of(edges), "where")
     wanted = _of_ends(nodes.select("node", "k1", "k2"), edges)
-    held = texts.join(_small(wanted), ["k1", "k2"]).groupBy("node").agg(F.min("t").alias("t"))
+    held = _matched(texts, wanted, ["k1", "k2"], "inner").groupBy("node").agg(F.min("t").alias("t"))
     asked = materialize(cells.select(F.col("c").alias("p"), F.col("i").alias("q"), F.col("j").alias("r"), F.explode(F.array("src", "dst")).alias("node")).distinct(), "asked")
     held = held.join(_small(asked), "node")
 
@@ -476,7 +509,7 @@ def similar_links(nodes: DataFrame, texts: DataFrame, similarity: float = SIMILA
     shared = materialize(shared, "cells")
     more = materialize(shared.where("n > 2").select("key", "n"), "larger")
     size, at = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF))
-    members = dealt.join(_small(more), "key")
+    members = _matched(dealt, more, ["key"], "inner")
     members = materialize(members.select("key", "node", size.alias("size"), at.alias("at"), "n"), "members")
     small, large = members.where(F.col("n") <= FEW), members.where(F.col("n") > FEW)
 
@@ -517,7 +550,7 @@ def similar_documents(docs: DataFrame, doc="doc_id", text="text", similarity: fl
     sets = materialize(sets, "nodes")
     spare = prints.select("row", "hi", "lo").join(sets, ["hi", "lo"]).where("row <> node").select("row")
     spare = materialize(spare, "spare")
-    nodes = prints.join(_small(spare), "row", "left_anti")
+    nodes = _matched(prints, spare, ["row"], "left_anti")
     nodes = nodes.withColumnRenamed("row", "node").select("node", "k1", "k2", "size", "prefix", "segments")
     d, t = F.col(f"`{doc}`"), F.col(f"`{text}`")
     texts = needed(docs, *dict.fromkeys((doc, text))).select(*_row_key(d, t), t.alias("t"))

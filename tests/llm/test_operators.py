@@ -416,6 +416,41 @@ def test_keep_one_takes_any_ids_and_every_text(spark):
     assert found == {("b", "a"), ("a", "a"), (None, "a"), ("c", "c")}
 
 
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_keep_one_deals_no_text_out_for_the_rows_that_go(spark, monkeypatch, most):
+    """Nor where those rows are too many to be sent whole: only what the bit map doesn't clear is dealt out then."""
+    monkeypatch.setattr(simhash, "BROADCAST", most)
+    rows = [*family(40, 12, 0, 2), (3, "a text twice with its id"), (3, "a text twice with its id"), (4, None), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a table of over 256 kB in the check
+    try:
+        kept = simhash.keep_one(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and ("SortMergeJoin" in plan) == (most == 0)
+        want = [*rows[:40], (3, "a text twice with its id"), (4, None)]
+        assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, want))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+@pytest.mark.parametrize("bits, most_maps", [(1 << 18, 1 << 11), (1 << 7, 5)])
+def test_matched_rows_are_those_of_a_plain_join(spark, monkeypatch, bits, most_maps):
+    """With maps of many rows, and with so few bits that many rows pass."""
+    monkeypatch.setattr(simhash, "MAP_BITS", bits)
+    monkeypatch.setattr(simhash, "MOST_MAPS", most_maps)
+    monkeypatch.setattr(simhash, "BROADCAST", 0)
+    rows = spark.range(-4000, 4000).selectExpr("id as a", "cast(id % 7 as string) as b", "repeat('x', 50) as wide")
+    keys = simhash.materialize(spark.range(-1000, 0).selectExpr("id * 5 as a", "cast(id * 5 % 7 as string) as b", "id as n"))
+    for on, how in ((["a"], "left_semi"), (["a", "b"], "left_anti"), (["b", "a"], "inner")):
+        got, want = (sorted(map(tuple, df.select(sorted(df.columns)).collect())) for df in (simhash._matched(rows, keys.select(*on, *["n"] * (how == "inner")), on, how), rows.join(keys.select(*on, *["n"] * (how == "inner")), on, how)))
+        assert got == want and len(got) == {"left_semi": 800, "left_anti": 7200, "inner": 800}[how]
+    maps, held = simhash._bit_maps(keys, ["a"], keys.count())
+    passed = rows.join(maps, held, "left_semi").count()
+    assert 800 <= passed and (passed < 2000 or bits == 1 << 7)
+    assert maps.count() == (1 if bits > 1 << 7 else 5)
+
+
 def test_manhattan_distance_of_segment_counts_is_a_lower_bound():
     rng = np.random.default_rng(4)
     for size in (1, 7, 60, 300, 4000):
