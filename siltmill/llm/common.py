@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from siltmill.ship import ship
 
@@ -52,6 +53,37 @@ def replacing(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, *(c.alias(n) for n, c in columns.items()))
 
 
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """``names``, or longer ones where ``columns`` have such a name (in any case)."""
+    taken, free = {c.lower() for c in columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        free.append(n)
+    return free
+
+
+def told_apart(df: DataFrame, *names: str) -> list[Column]:
+    """What to hash so that unlike rows have unlike hashes. A hash passes over nulls, so that of ('a', null) is that of
+    (null, 'a') and that of [1, null] that of [1]; a map or variant has none."""
+    plain, added = [], []
+    for n, field in zip(names, needed(df, *names).schema, strict=True):
+        c, kind = F.col(f"`{n}`"), field.dataType
+        added.append(c.isNull())
+        if isinstance(kind, (ArrayType, MapType, StructType, VariantType)):
+            added.append(F.to_json(F.struct(c.alias("c"))))
+        if "map<" not in kind.simpleString() and "variant" not in kind.simpleString():
+            plain.append(c)
+    return added + plain
+
+
+def row_key(df: DataFrame, doc: str, text: str) -> list[Column]:
+    """128 bits of a row's id and text, ``k1`` and ``k2``: equal ones have equal bits, a null being equal to nulls only."""
+    both = told_apart(df, doc, text)
+    return [F.xxhash64(*both).alias("k1"), F.xxhash64(F.lit(3), *both).alias("k2")]
+
+
 def needed(df: DataFrame, *names: str) -> DataFrame:
     """Only the columns an operator works on, so that others never reach a shuffle or Python."""
     return df.select(*(F.col(f"`{n}`") for n in names))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltmill.llm.common import needed
+from siltmill.llm.common import free_names, needed, row_key
 from siltmill.scratch import materialize
 
 
@@ -150,11 +150,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds(),
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds(), doc="doc_id", text="text", **columns) -> DataFrame:
     """``docs`` without the rows that ``contaminated`` finds; each row is judged by itself, with or without an id."""
-    d, t = F.col(f"`{doc}`"), F.col(f"`{text}`")
-    keyed = lambda: (F.xxhash64(d, t).alias("k1"), F.xxhash64(F.lit(3), d, t).alias("k2"))
-    rows = docs.select(F.struct(*keyed()).alias("row"), t.alias("text"))
+    key = free_names(docs.columns, "__k1", "__k2")
+    rows = docs.select(F.struct(*row_key(docs, doc, text)).alias("row"), F.col(f"`{text}`").alias("text"))
     found = contaminated(rows, benchmark, seeds, "row", "text", **columns).select("row").distinct()
-    found = materialize(found.select(F.col("row.k1").alias("__k1"), F.col("row.k2").alias("__k2")), "leaks")
-    k1, k2 = keyed()
-    kept = docs.withColumns({"__k1": k1, "__k2": k2}).join(found, ["__k1", "__k2"], "left_anti")
+    found = materialize(found.select("row.k1", "row.k2").toDF(*key), "leaks")
+    kept = docs.withColumns(dict(zip(key, row_key(docs, doc, text), strict=True))).join(found, key, "left_anti")
     return kept.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltmill.llm.common import needed, replacing
+from siltmill.llm.common import free_names, needed, replacing, row_key
 from siltmill.scratch import materialize
 
 #: What is trimmed from a line before it is compared.
@@ -40,16 +40,12 @@ def _occurrences(docs: DataFrame, doc: str, text: str, site: str) -> DataFrame:
     """A row for each line that isn't blank: 128 bits of row key, position, 128 bits of line hash, site."""
     t, d = F.col(f"`{text}`"), F.col(f"`{doc}`")
     rows = needed(docs, *dict.fromkeys((doc, text, site))).where(t.isNotNull()).select(
-        d.alias("doc"), F.col(f"`{site}`").cast("string").alias("site"), *_row_key(d, t), F.posexplode(F.split(t, "\n")).alias("pos", "line")
+        d.alias("doc"), F.col(f"`{site}`").cast("string").alias("site"), *row_key(docs, doc, text), F.posexplode(F.split(t, "\n")).alias("pos", "line")
     )
     key = _key(F.col("line"))
     return rows.where(key != "").select("doc", "k1", "k2", "pos", "site", F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(7), key).alias("h2"))
 
 
-def _row_key(d: Column, t: Column) -> list[Column]:
-    return [F.xxhash64(d, t).alias("k1"), F.xxhash64(F.lit(3), d, t).alias("k2")]
-
-
 def line_spread(docs: DataFrame, spread: Spread = Spread(), doc="doc_id", text="text", site="source") -> tuple[DataFrame, DataFrame]:
     """(lines, occurrences): the boilerplate lines ``(h1, h2, sites, first_doc, first_pos)``, and every
     occurrence of a line that came near the threshold. Null sites count as no site."""
@@ -93,18 +89,18 @@ def remove_boilerplate(docs: DataFrame, spread: Spread = Spread(), doc="doc_id",
     flagged = lines.select("h1", "h2", "first")
     hit = seen.join(F.broadcast(flagged) if few else flagged, ["h1", "h2"])
     spare = F.struct("doc", "k1", "k2", "pos").eqNullSafe(F.col("first"))
-    drops = hit.where(~spare).groupBy(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).agg(F.collect_set("pos").alias("__drop"))
+    *key, drop = free_names([*docs.columns, n_lines, n_removed], "__k1", "__k2", "__drop")
+    drops = hit.where(~spare).groupBy("k1", "k2").agg(F.collect_set("pos")).toDF(*key, drop)
     drops = materialize(drops, "drops")
     t = F.col(f"`{text}`")
-    k1, k2 = _row_key(F.col(f"`{doc}`"), t)
-    joined = docs.withColumns({"__k1": k1, "__k2": k2}).join(drops, ["__k1", "__k2"], "left").drop("__k1", "__k2")
+    joined = docs.withColumns(dict(zip(key, row_key(docs, doc, text), strict=True))).join(drops, key, "left").drop(*key)
     split = F.split(t, "\n")
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__drop")), lambda i: F.get(split, i))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(drop)), lambda i: F.get(split, i))
     counts = {
         n_lines: F.coalesce(F.when(t.isNotNull(), F.size(split)), F.lit(0)).cast("long"),
-        n_removed: F.when(F.col("__drop").isNull(), 0).otherwise(F.size("__drop")).cast("long"),
+        n_removed: F.when(F.col(drop).isNull(), 0).otherwise(F.size(drop)).cast("long"),
     }
     out = replacing(joined, **counts)
-    clean = F.when(F.col("__drop").isNull(), t).otherwise(F.array_join(kept, "\n"))
-    order = [c for c in out.columns if c != "__drop"]
+    clean = F.when(F.col(drop).isNull(), t).otherwise(F.array_join(kept, "\n"))
+    order = [c for c in out.columns if c != drop]
     return out.withColumn(text, clean).select(*(F.col(f"`{c}`") for c in order))

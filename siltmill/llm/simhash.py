@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltmill.llm.common import needed, text_batches
+from siltmill.llm.common import free_names, needed, row_key, text_batches, told_apart
 from siltmill.operators.components import connected_components
 from siltmill.operators.dedup import _verify as verify
 from siltmill.scratch import discard, materialize
@@ -147,11 +147,6 @@ def hex_print(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def _row_key(d: Column, t: Column) -> list[Column]:
-    """128 bits of a row's id and text."""
-    return [F.xxhash64(d, t).alias("k1"), F.xxhash64(F.lit(3), d, t).alias("k2")]
-
-
 def keep_one(docs: DataFrame, doc="doc_id", text="text") -> DataFrame:
     """``docs`` with one row of each component of ``similar_documents``, that with the smallest id.
 
@@ -163,17 +158,16 @@ def keep_one(docs: DataFrame, doc="doc_id", text="text") -> DataFrame:
     best = found.groupBy("root").agg(F.min(F.struct(F.col("doc").isNull(), "doc", "k1", "k2")).alias("best")).select("root", "best.k1", "best.k2")
     best = materialize(best, "best")
     chosen = (F.col("r.k1") == F.col("b.k1")) & (F.col("r.k2") == F.col("b.k2"))
-    gone = found.alias("r").join(best.alias("b"), "root").where(~chosen).select(F.col("r.k1").alias("__k1"), F.col("r.k2").alias("__k2")).distinct()
-    k1, k2 = _row_key(F.col(f"`{doc}`"), F.col(f"`{text}`"))
+    *key, n = free_names(docs.columns, "__k1", "__k2", "__n")
+    gone = found.alias("r").join(best.alias("b"), "root").where(~chosen).select("r.k1", "r.k2").distinct().toDF(*key)
     # No text is dealt out for the few that go: see _matched.
-    kept = _matched(docs.withColumns({"__k1": k1, "__k2": k2}), materialize(gone, "gone"), ["__k1", "__k2"], "left_anti")
-    again = found.groupBy(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).count().where("count > 1").drop("count")
+    kept = _matched(docs.withColumns(dict(zip(key, row_key(docs, doc, text), strict=True))), materialize(gone, "gone"), key, "left_anti")
+    again = found.groupBy("k1", "k2").count().where("count > 1").drop("count").toDF(*key)
     again = materialize(again, "repeated")
     if not again.isEmpty():
-        every = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
-        nth = F.row_number().over(Window.partitionBy("__k1", "__k2").orderBy(every))
-        one = _matched(kept, again, ["__k1", "__k2"], "left_semi").withColumn("__n", nth).where("__n = 1").drop("__n")
-        kept = _matched(kept, again, ["__k1", "__k2"], "left_anti").unionByName(one)
+        nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(*told_apart(docs, *docs.columns))))
+        one = _matched(kept, again, key, "left_semi").withColumn(n, nth).where(F.col(n) == 1).drop(n)
+        kept = _matched(kept, again, key, "left_anti").unionByName(one)
     return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
@@ -299,7 +293,7 @@ def set_prints(docs: DataFrame, doc="doc_id", text="text", similarity: float = S
     and the print, size, prefix and segment popcounts of its shingle set."""
     rows = needed(docs, *dict.fromkeys((doc, text))).select(F.col(f"`{doc}`").alias("doc"), F.col(f"`{text}`").alias("t"))
     common, counts = common_shingles(rows)
-    rows = text_batches(rows.select("doc", *_row_key(F.col("doc"), F.col("t")), "t"))
+    rows = text_batches(rows.select("doc", *row_key(rows, "doc", "t"), "t"))
     kind = rows.schema["doc"].dataType.simpleString()
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -332,25 +326,25 @@ def _matched(rows: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataF
     n = keys.count()
     if n <= BROADCAST:
         return rows.join(F.broadcast(keys), on, how)
-    maps, held = _bit_maps(keys, on, n)
+    maps, held = _bit_maps(keys, on, n, free_names(rows.columns, "__map", "__bits"))
     maybe = rows.join(maps, held, "left_semi").join(keys, on, how)
     return rows.join(maps, held, "left_anti").unionByName(maybe) if how == "left_anti" else maybe
 
 
-def _bit_maps(keys: DataFrame, on: list[str], n: int) -> tuple[DataFrame, Column]:
-    """A bit map of ``n`` keys, cut into rows, to be sent to every executor; the condition that it may hold a key."""
+def _bit_maps(keys: DataFrame, on: list[str], n: int, names: list[str] | tuple[str, ...] = ("__map", "__bits")) -> tuple[DataFrame, Column]:
+    """A bit map of ``n`` keys, cut into rows of two columns of these names, to be sent to every executor; the condition that it may hold a key."""
     hashed, count = F.xxhash64(F.lit(5), *on), min(MOST_MAPS, -(-KEY_BITS * n // MAP_BITS))
     number, at = F.pmod(hashed, F.lit(count)).cast("long"), F.shiftrightunsigned(hashed, 32).bitwiseAND(F.lit(MAP_BITS - 1)).cast("int")
 
     def build(held: pd.DataFrame) -> pd.DataFrame:
         bits = np.zeros(MAP_BITS, np.uint8)
         bits[held["at"]] = 1
-        return pd.DataFrame({"__map": held["map"].iloc[:1], "__bits": [np.packbits(bits, bitorder="little").view("<i8")]})
+        return pd.DataFrame({"map": held["map"].iloc[:1], "bits": [np.packbits(bits, bitorder="little").view("<i8")]})
 
     ship(keys.sparkSession)
-    maps = keys.select(number.alias("map"), at.alias("at")).groupBy("map").applyInPandas(build, "__map long, __bits array<bigint>")
+    maps = keys.select(number.alias("map"), at.alias("at")).groupBy("map").applyInPandas(build, "map long, bits array<bigint>").toDF(*names)
     word, bit = F.shiftright(at, 6), at.bitwiseAND(F.lit(63))
-    return F.broadcast(materialize(maps, "bits")), (number == F.col("__map")) & (F.getbit(F.get("__bits", word), bit) == 1)
+    return F.broadcast(materialize(maps, "bits")), (number == F.col(names[0])) & (F.getbit(F.get(names[1], word), bit) == 1)
 
 
 def _within(edges: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
@@ -552,8 +546,7 @@ def similar_documents(docs: DataFrame, doc="doc_id", text="text", similarity: fl
     spare = materialize(spare, "spare")
     nodes = _matched(prints, spare, ["row"], "left_anti")
     nodes = nodes.withColumnRenamed("row", "node").select("node", "k1", "k2", "size", "prefix", "segments")
-    d, t = F.col(f"`{doc}`"), F.col(f"`{text}`")
-    texts = needed(docs, *dict.fromkeys((doc, text))).select(*_row_key(d, t), t.alias("t"))
+    texts = needed(docs, *dict.fromkeys((doc, text))).select(*row_key(docs, doc, text), F.col(f"`{text}`").alias("t"))
     groups = connected_components(similar_links(nodes, texts, similarity)).withColumnRenamed("component", "root")
     sets = sets.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     sets = materialize(sets.select("hi", "lo", "root", "least"), "classes")

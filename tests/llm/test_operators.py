@@ -416,6 +416,49 @@ def test_keep_one_takes_any_ids_and_every_text(spark):
     assert found == {("b", "a"), ("a", "a"), (None, "a"), ("c", "c")}
 
 
+def test_rows_whose_id_or_text_is_null_are_told_apart(spark):
+    """An id without a text isn't a text without an id, though xxhash64 passes over nulls; nor is [1, null] the id [1]."""
+    leak = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    rows = [("a", "", "s0"), (leak, None, "s1"), (None, leak, "s2")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    assert sorted(map(str, map(tuple, simhash.keep_one(docs).collect()))) == sorted(map(str, (rows[0], rows[2])))
+    eight = [(1, ""), (5, None), (None, "\x05" + "\0" * 7)]
+    kept = simhash.keep_one(spark.createDataFrame(eight, "doc_id long, text string")).collect()
+    assert {tuple(r) for r in kept} == {eight[0], eight[2]}
+    nested = [([1], "of one"), ([1, None], "of one and none"), ([1], "of one and none"), ([1, None], "of one")]
+    kept = simhash.keep_one(spark.createDataFrame(nested, "doc_id array<long>, text string")).collect()
+    assert sorted(map(tuple, kept)) == [([1], "of one"), ([1], "of one and none")]
+    items = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    assert sorted(map(tuple, decontam.decontaminate(docs, items).collect())) == sorted(rows[:2])
+    two = [(None, leak, "s0"), (None, leak + "\nmore", "s1")]  # one of them loses the line
+    lines = spark.createDataFrame([*two, *((t, None, s) for _, t, s in two)], docs.schema)
+    got = linedup.remove_boilerplate(lines, linedup.Spread(min_sites=2)).collect()
+    assert [(r.n_lines, r.n_removed) for r in got if r.text is None] == [(0, 0)] * 2
+
+
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_extra_columns_of_any_name_and_type_pass_every_stage(spark, monkeypatch, most):
+    monkeypatch.setattr(simhash, "BROADCAST", most)
+    names = ("__k1", "__K2", "__n", "__map", "__bits", "__drop", "a.b")
+    rows = [(i, t, "s", *range(10 * i, 10 * i + 7)) for i, t in enumerate(("a b c", "d e f", "d e f", "g"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` int" for n in names))
+    docs = docs.union(docs.where("doc_id = 3")).selectExpr("*", "map('k', doc_id) as m")
+    items = spark.createDataFrame([(1, "to be found in no text")], "item_id long, text string")
+    want = [(*r, {"k": r[0]}) for r in rows]
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect()), key=repr) == [want[0], want[1], want[3]]
+    assert sorted(map(tuple, decontam.decontaminate(docs, items).collect()), key=repr) == [*want, want[3]]
+    lines = linedup.remove_boilerplate(docs)
+    assert lines.columns == [*docs.columns, "n_lines", "n_removed"] and sorted((tuple(r)[:-2] for r in lines.collect()), key=repr) == [*want, want[3]]
+
+
+def test_repeated_rows_leave_the_same_one_whatever_is_null(spark):
+    rows = [(1, "a text", 7, None), (1, "a text", None, 7)]
+    schema = "doc_id long, text string, a long, b long"
+    kept = [simhash.keep_one(spark.createDataFrame(r, schema)).collect() for r in (rows, rows[::-1])]
+    assert kept[0] == kept[1] and len(kept[0]) == 1
+
+
 @pytest.mark.parametrize("most", [1_000_000, 0])
 def test_keep_one_deals_no_text_out_for_the_rows_that_go(spark, monkeypatch, most):
     """Nor where those rows are too many to be sent whole: only what the bit map doesn't clear is dealt out then."""
